@@ -127,12 +127,15 @@ def _nearest_packed(events: DataFrame, points: DataFrame, lat: str, lon: str) ->
         return _candidate(chord, lambda name: p[name])
 
     placed = events.withColumns(
-        dict(zip(("_ex", "_ey", "_ez"), unit_vector(F.col(lat), F.col(lon))))
+        {
+            "_places": packed,
+            **dict(zip(("_ex", "_ey", "_ez"), unit_vector(F.col(lat), F.col(lon)))),
+        }
     )
     located = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     return placed.withColumn(
-        "_best", F.when(located, F.array_min(F.transform(packed, scored)))
-    ).drop("_ex", "_ey", "_ez")
+        "_best", F.when(located, F.array_min(F.transform("_places", scored)))
+    ).drop("_places", "_ex", "_ey", "_ez")
 
 
 def _nearest_by_grid(

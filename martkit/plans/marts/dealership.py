@@ -49,7 +49,8 @@ def missing_consumption(models: DataFrame) -> DataFrame:
 
 
 def _average(total, n):
-    return F.round(total.cast("double") / n, 2)
+    """Exact decimal mean, halves rounded up."""
+    return F.round(total / n, 2)
 
 
 def brand_year_price(sales: DataFrame) -> DataFrame:

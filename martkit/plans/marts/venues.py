@@ -18,7 +18,7 @@ MENU = "map<string,map<string,int>>"
 
 def _average_bill(sales: DataFrame, *by) -> DataFrame:
     return sales.groupBy("venue_id", *by).agg(
-        (F.sum("avg_check").cast("double") / F.count("*")).alias("average")
+        (F.sum("avg_check") / F.count("*")).alias("average")
     )
 
 
@@ -33,7 +33,8 @@ def yoy_change(sales: DataFrame, venues: DataFrame, before: int = 2023) -> DataF
     """Average bill per venue and year against the year before it in the data."""
     bills = _average_bill(sales.withColumn("year", F.year("date")).where(F.col("year") < before), "year")
     previous = F.lag("average").over(Window.partitionBy("venue_id").orderBy("year"))
-    change = (F.col("average") - F.col("previous")) / F.col("previous") * 100
+    now, then = F.col("average").cast("double"), F.col("previous").cast("double")
+    change = F.try_divide(now - then, then) * 100
     return (
         bills.withColumn("previous", previous)
         .join(venues.select("venue_id", "cafe_name", "type"), "venue_id")

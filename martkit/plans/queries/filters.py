@@ -134,18 +134,16 @@ def greatest_floor(t):
 
 @query(
     "scalar_subquery",
-    """SELECT o_orderkey FROM orders WHERE CAST(o_totalprice AS DECIMAL(12,2)) >
-        (SELECT coalesce(max(CAST(o_totalprice AS DECIMAL(12,2))), 0) FROM orders
-         WHERE o_orderdate < DATE '1996-01-01')""",
+    """SELECT o_orderkey FROM orders WHERE o_orderdate > (SELECT
+        coalesce(max(o_orderdate), DATE '1900-01-01') FROM orders WHERE o_orderdate < DATE '1998-01-01')""",
 )
 def scalar_subquery(t):
     orders = t("orders")
-    seen = (
-        orders.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
-        .agg(F.coalesce(F.max("o_totalprice"), F.lit(0).cast("decimal(12,2)")))
-        .scalar()
+    day = F.col("o_orderdate")
+    loaded = orders.where(day < F.lit("1998-01-01").cast("timestamp_ntz")).agg(
+        F.coalesce(F.max(day), F.lit("1900-01-01").cast("timestamp_ntz"))
     )
-    return orders.where(F.col("o_totalprice") > seen).select("o_orderkey")
+    return orders.where(day > loaded.scalar()).select("o_orderkey")
 
 
 @query(

@@ -55,7 +55,7 @@ def sharing_pairs(t):
     ).select(F.col("id_left").alias("user_left"), F.col("id_right").alias("user_right"))
 
 
-_EDGES = """SELECT DISTINCT user_id AS message_from, user_id + 25 * (group_id % 4) AS message_to
+_EDGES = """SELECT DISTINCT user_id AS message_from, user_id + 25 * (group_id % 40) AS message_to
     FROM group_events WHERE event_type IN ('click', 'purchase')"""
 _STRANGERS = """NOT EXISTS (SELECT 1 FROM edges WHERE
     (message_from = user_left AND message_to = user_right)

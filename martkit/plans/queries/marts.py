@@ -189,10 +189,13 @@ def triggers(t):
     "global_metrics",
     with_("transactions")
     + """SELECT CAST(transaction_dt AS DATE) AS date_update, currency_code AS currency_from,
-        CAST(sum(amount * CAST((currency_code % 9 + 1) * 125 AS DECIMAL(8,0)) / 1000) AS DOUBLE)
-            AS amount_total_raw,
+        CAST(sum(amount * CAST((currency_code % 9 + 1) * 0.125 AS DECIMAL(5,3))) AS DOUBLE) AS amount_total,
         count(*) AS cnt_transactions,
-        count(DISTINCT account_number_from) AS cnt_accounts_make_transactions
+        CAST(sum(amount * CAST((currency_code % 9 + 1) * 0.125 AS DECIMAL(5,3))) AS DOUBLE)
+            / count(*) AS avg_transaction_amount,
+        count(DISTINCT account_number_from) AS cnt_accounts_make_transactions,
+        CAST(sum(amount * CAST((currency_code % 9 + 1) * 0.125 AS DECIMAL(5,3))) AS DOUBLE)
+            / count(DISTINCT account_number_from) AS avg_amount_per_account
     FROM transactions WHERE status = 'done' AND account_number_from >= 0 GROUP BY ALL""",
 )
 def metrics(t):
@@ -210,7 +213,7 @@ def _cars(t):
     "brand_year_price",
     with_("car_sales_raw")
     + """SELECT brand, CAST(year(date) AS INTEGER) AS year,
-        round(CAST(sum(price) AS DOUBLE) / count(*), 2) AS price_avg FROM car_sales_raw GROUP BY ALL""",
+        (2 * CAST(sum(price) * 100 AS BIGINT) + count(*)) // (2 * count(*)) / 100 AS price_avg FROM car_sales_raw GROUP BY ALL""",
 )
 def brand_year(t):
     return dealership.brand_year_price(_cars(t))
@@ -220,7 +223,7 @@ def brand_year(t):
     "month_price",
     with_("car_sales_raw")
     + """SELECT CAST(month(date) AS INTEGER) AS month, 1998 AS year,
-        round(CAST(sum(price) AS DOUBLE) / count(*), 2) AS price_avg FROM car_sales_raw
+        (2 * CAST(sum(price) * 100 AS BIGINT) + count(*)) // (2 * count(*)) / 100 AS price_avg FROM car_sales_raw
     WHERE year(date) = 1998 GROUP BY ALL""",
 )
 def month_avg(t):
@@ -266,12 +269,13 @@ def prefix_clients(t):
     with_(
         "venue_sales",
         "venue_names",
-        a="""SELECT venue_id, CAST(sum(cents) AS DOUBLE) / 100 / count(*) AS average
+        a="""SELECT venue_id, CAST(sum(cents) AS DOUBLE) / count(*) AS average,
+            (2 * CAST(sum(cents) AS BIGINT) + count(*)) // (2 * count(*)) / 100 AS average_check
             FROM venue_sales GROUP BY venue_id""",
         r="""SELECT *, row_number() OVER (PARTITION BY type ORDER BY average DESC, venue_id) AS rn
             FROM a JOIN venue_names USING (venue_id)""",
     )
-    + "SELECT cafe_name, type, round(average, 2) AS average_check FROM r WHERE rn <= 3",
+    + "SELECT cafe_name, type, average_check FROM r WHERE rn <= 3",
 )
 def top_venues(t):
     return venues.venue_top(s.venue_sales(t), s.venue_names(t))
@@ -283,12 +287,14 @@ def top_venues(t):
         "venue_sales",
         "venue_names",
         a="""SELECT venue_id, CAST(year(date) AS INTEGER) AS year,
-            CAST(sum(cents) AS DOUBLE) / 100 / count(*) AS cur
+            CAST(sum(cents) AS DOUBLE) / 100 / count(*) AS cur,
+            (2 * CAST(sum(cents) AS BIGINT) + count(*)) // (2 * count(*)) / 100 AS cur_2
             FROM venue_sales WHERE year(date) < 2023 GROUP BY ALL""",
-        b="SELECT *, lag(cur) OVER (PARTITION BY venue_id ORDER BY year) AS prev FROM a",
+        b="""SELECT *, lag(cur) OVER (PARTITION BY venue_id ORDER BY year) AS prev,
+            lag(cur_2) OVER (PARTITION BY venue_id ORDER BY year) AS prev_2 FROM a""",
     )
-    + """SELECT year, cafe_name, type, round(cur, 2) AS average_check_current_year,
-        coalesce(round(prev, 2), -1) AS average_check_previous_year,
+    + """SELECT year, cafe_name, type, cur_2 AS average_check_current_year,
+        coalesce(prev_2, -1) AS average_check_previous_year,
         coalesce(round((cur - prev) / prev * 100, 2), -1000) AS percentage_change
     FROM b JOIN venue_names USING (venue_id)""",
 )
@@ -297,7 +303,7 @@ def yoy(t):
     stored = refresh_table(
         venues.yoy_change(s.venue_sales(t), s.venue_names(t)), t.scratch("yoy-change")
     )
-    return stored.na.fill({"average_check_previous_year": -1.0, "percentage_change": -1000.0})
+    return stored.na.fill({"average_check_previous_year": -1, "percentage_change": -1000})
 
 
 @query(
@@ -340,7 +346,7 @@ def priciest_item(t):
     "menu_price_rise",
     with_("venue_menu")
     + """SELECT cafe_name, item, CASE WHEN type = 'coffee_shop' AND item = 'red widget'
-        THEN price * 1.2::DOUBLE ELSE price::DOUBLE END AS price FROM venue_menu""",
+        THEN CAST(price * 1.2 AS DOUBLE) ELSE price::DOUBLE END AS price FROM venue_menu""",
 )
 def dearer(t):
     raised = venues.raise_price(s.venues(t), "coffee_shop", "Coffee", "red widget")

@@ -367,7 +367,7 @@ def geo_events(t: Tables) -> DataFrame:
         ((city * 37 % 120 - 60).cast("double") + offset).alias("lat"),
         ((city * 91 % 340 - 170).cast("double") + offset).alias("lon"),
         key.alias("channel_id"),
-        F.when(kind.isin("click", "purchase"), F.col("user_id") + 25 * (key % 4)).alias("message_to"),
+        F.when(kind.isin("click", "purchase"), F.col("user_id") + 25 * (key % 40)).alias("message_to"),
     )
 
 

@@ -35,8 +35,11 @@ def read_csv_with_rejects(
         columnNameOfCorruptRecord=REJECT_COL,
         enforceSchema=True,
     )
-    good = rows.where(F.col(REJECT_COL).isNull()).drop(REJECT_COL)
-    return good, rows.where(F.col(REJECT_COL).isNotNull())
+    # The reader only checks the columns a plan asks for. This condition always
+    # holds but needs every column, so a later projection cannot hide a bad value.
+    checked = F.hash(*declared.names) >= F.lit(-(2**31))
+    rejected = F.col(REJECT_COL).isNotNull()
+    return rows.where(~rejected & checked).drop(REJECT_COL), rows.where(rejected & checked)
 
 
 def read_rows(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
