@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martkit.session import settle
+
 
 def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join in which null keys match each other; keys come from the left.
@@ -36,47 +38,64 @@ def split_hot_join(
     left_id: str,
     right_id: str,
     block_rows: int = 4000,
+    max_broadcast_keys: int = 100_000,
 ) -> DataFrame:
     """Inner equi-join plus pair ``condition`` whose work per key is bounded.
 
-    A key with more than ``block_rows`` rows on a side is cut into blocks by a
-    hash of that side's id, and every block of one side meets every block of
-    the other. Each (key, block, block) unit then compares at most about
+    A counting pass finds the keys with more than ``block_rows`` rows on a
+    side. Without any, this is the plain join. Otherwise each hot key is cut
+    into blocks by a hash of the side's id, and every block of one side meets
+    every block of the other: a (key, block, block) unit compares at most about
     ``block_rows`` squared pairs, and only pairs that satisfy ``condition``
     leave the join. The split is exact: no row is dropped or capped.
 
     Column names of the two sides other than ``on`` must differ.
     """
-    sizes = (
-        left.select(*on, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
-        .unionByName(right.select(*on, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
-        .groupBy(*on)
-        .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
-        .where((F.col("_l") > block_rows) | (F.col("_r") > block_rows))
-        .select(
-            *on,
-            F.ceil(F.greatest(F.col("_l"), F.lit(1)) / block_rows).cast("int").alias("_lb"),
-            F.ceil(F.greatest(F.col("_r"), F.lit(1)) / block_rows).cast("int").alias("_rb"),
-        )
+    marked = right.select(
+        *[F.col(k).alias(f"_r_{k}") for k in on], *[c for c in right.columns if c not in on]
     )
+    equal = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_r_{k}") for k in on])
+    dropped = [f"_r_{k}" for k in on]
+
+    hot = settle(_hot_keys(left, right, on, block_rows))
+    hot_count = hot.limit(max_broadcast_keys + 1).count()
+    if hot_count == 0:
+        return left.join(marked, equal & condition, "inner").drop(*dropped)
+    if hot_count <= max_broadcast_keys:
+        hot = F.broadcast(hot)
 
-    def blocked(side: DataFrame, own: str, other: str, own_count: str, other_count: str, key: str):
-        with_sizes = side.join(sizes, list(on), "left")
-        own_block = F.pmod(F.xxhash64(F.col(key)), F.coalesce(F.col(own_count), F.lit(1)))
+    def blocked(side, keys, own, other, own_count, other_count, id_col):
+        sized = side.join(
+            hot.select(*[F.col(k).alias(s) for k, s in zip(on, keys)], "_lb", "_rb"), keys, "left"
+        )
+        own_block = F.pmod(F.xxhash64(F.col(id_col)), F.coalesce(F.col(own_count), F.lit(1)))
         others = F.sequence(F.lit(0), F.coalesce(F.col(other_count), F.lit(1)) - 1)
         return (
-            with_sizes.withColumn(own, own_block.cast("int"))
+            sized.withColumn(own, own_block.cast("int"))
             .withColumn(other, F.explode(others))
             .drop("_lb", "_rb")
         )
 
-    l_rows = blocked(left, "_lblock", "_rblock", "_lb", "_rb", left_id)
-    r_rows = blocked(right, "_rblock", "_lblock", "_rb", "_lb", right_id)
-    keys = [*on, "_lblock", "_rblock"]
-    r_rows = r_rows.select(
-        *[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in r_rows.columns if c not in keys]
+    l_rows = blocked(left, list(on), "_l1", "_l2", "_lb", "_rb", left_id)
+    r_rows = blocked(marked, dropped, "_r2", "_r1", "_rb", "_lb", right_id)
+    same_unit = (F.col("_l1") == F.col("_r1")) & (F.col("_l2") == F.col("_r2"))
+    return l_rows.join(r_rows, equal & same_unit & condition, "inner").drop(
+        *dropped, "_l1", "_l2", "_r1", "_r2"
     )
-    equal = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_r_{k}") for k in keys])
-    return l_rows.join(r_rows, equal & condition, "inner").drop(
-        *[f"_r_{k}" for k in keys], "_lblock", "_rblock"
+
+
+def _hot_keys(left: DataFrame, right: DataFrame, on: Sequence[str], block_rows: int) -> DataFrame:
+    """Keys with more than ``block_rows`` rows on a side, and their block counts."""
+    return (
+        left.select(*on, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
+        .unionByName(right.select(*on, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
+        .groupBy(*on)
+        .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+        .where((F.col("_l") > block_rows) | (F.col("_r") > block_rows))
+        .where((F.col("_l") > 0) & (F.col("_r") > 0))
+        .select(
+            *on,
+            F.ceil(F.col("_l") / block_rows).cast("int").alias("_lb"),
+            F.ceil(F.col("_r") / block_rows).cast("int").alias("_rb"),
+        )
     )

@@ -56,6 +56,24 @@ def conform_union(
     return united.distinct() if distinct else united
 
 
+def missing_rows(
+    current: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """Incoming rows, one per key, whose key the current table lacks.
+
+    The keys already known are found by a semi-join that can broadcast the
+    batch, so a large table is scanned in place and only a batch that is large
+    itself causes a shuffle of it.
+    """
+    known = join_same(current.select(*keys), incoming.select(*keys), keys, "left_semi")
+    return join_same(_one_per_key(incoming, keys, order_by), known, keys, "left_anti").select(
+        *current.columns
+    )
+
+
 def insert_missing(
     current: DataFrame,
     incoming: DataFrame,
@@ -63,8 +81,7 @@ def insert_missing(
     order_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Keep what is there; add rows whose key is new."""
-    fresh = join_same(_one_per_key(incoming, keys, order_by), current, keys, "left_anti")
-    return current.unionByName(fresh.select(*current.columns))
+    return current.unionByName(missing_rows(current, incoming, keys, order_by))
 
 
 def upsert(

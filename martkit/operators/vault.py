@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from martkit.functions.hashing import md5_key
 from martkit.operators.joins import join_same
-from martkit.operators.load import insert_missing, replace_by_key
+from martkit.operators.load import insert_missing, missing_rows, replace_by_key
 from martkit.operators.select import latest_per_key
 from martkit.operators.sequences import previous_value
 
@@ -22,8 +22,12 @@ def _stamp(load_ts: datetime | Column) -> Column:
     return load_ts if isinstance(load_ts, Column) else F.lit(load_ts)
 
 
-def _append(current: DataFrame | None, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows if current is None else insert_missing(current, rows, keys)
+def _append(
+    current: DataFrame | None, rows: DataFrame, keys: Sequence[str], only_new: bool
+) -> DataFrame:
+    if current is None:
+        return rows
+    return (missing_rows if only_new else insert_missing)(current, rows, keys)
 
 
 def load_hub(
@@ -34,8 +38,12 @@ def load_hub(
     load_ts: datetime | Column,
     src: str,
     attrs: Sequence[str] = (),
+    only_new: bool = False,
 ) -> DataFrame:
-    """Business keys not yet in the hub get their hash key; known ones stay."""
+    """Business keys not yet in the hub get their hash key; known ones stay.
+
+    ``only_new`` returns the rows to append instead of the whole next hub.
+    """
     keyed = stage.where(F.col(bk).isNotNull()).select(bk, *attrs)
     keyed = latest_per_key(keyed, [bk], attrs) if attrs else keyed.distinct()
     rows = keyed.select(
@@ -45,7 +53,7 @@ def load_hub(
         _stamp(load_ts).alias("load_dt"),
         F.lit(src).alias("load_src"),
     )
-    return _append(current, rows, [hk])
+    return _append(current, rows, [hk], only_new)
 
 
 def load_link(
@@ -55,6 +63,7 @@ def load_link(
     hk: str,
     load_ts: datetime | Column,
     src: str,
+    only_new: bool = False,
 ) -> DataFrame:
     """Distinct combinations of hub keys; rows lacking a business key make no link.
 
@@ -69,7 +78,7 @@ def load_link(
         _stamp(load_ts).alias("load_dt"),
         F.lit(src).alias("load_src"),
     )
-    return _append(current, rows, [hk])
+    return _append(current, rows, [hk], only_new)
 
 
 def load_satellite(
@@ -180,93 +189,99 @@ def shred_orders(messages: DataFrame, payload: str = "payload") -> dict[str, Dat
     return {"orders": orders, "items": items}
 
 
+def store_stage(messages: DataFrame, path: str, payload: str = "payload") -> dict[str, DataFrame]:
+    """Shred the documents once into columnar tables below ``path`` and read those."""
+    stored = {}
+    for name, df in shred_orders(messages, payload).items():
+        target = f"{path.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(target)
+        stored[name] = df.sparkSession.read.schema(df.schema).parquet(target)
+    return stored
+
+
+# hub -> (stage, business key, attributes)
+HUBS = {
+    "h_order": ("orders", "order_id", ["order_dt"]),
+    "h_user": ("orders", "user_id", []),
+    "h_restaurant": ("orders", "restaurant_id", []),
+    "h_product": ("items", "product_id", []),
+    "h_category": ("items", "category_name", []),
+}
+# link -> (stage, key column, {hub key: business key})
+LINKS = {
+    "l_order_user": (
+        "orders",
+        "hk_order_user_pk",
+        {"h_order_pk": "order_id", "h_user_pk": "user_id"},
+    ),
+    "l_order_product": (
+        "items",
+        "hk_order_product_pk",
+        {"h_order_pk": "order_id", "h_product_pk": "product_id"},
+    ),
+    "l_product_restaurant": (
+        "items",
+        "hk_product_restaurant_pk",
+        {"h_product_pk": "product_id", "h_restaurant_pk": "restaurant_id"},
+    ),
+    "l_product_category": (
+        "items",
+        "hk_product_category_pk",
+        {"h_product_pk": "product_id", "h_category_pk": "category_name"},
+    ),
+}
+# satellite -> (stage, key column, business keys of its hub or link, attributes)
+SATELLITES = {
+    "s_user_names": ("orders", "h_user_pk", ["user_id"], ["username", "userlogin"]),
+    "s_product_names": ("items", "h_product_pk", ["product_id"], ["product_name"]),
+    "s_restaurant_names": (
+        "orders",
+        "h_restaurant_pk",
+        ["restaurant_id"],
+        ["restaurant_name"],
+    ),
+    "s_order_cost": ("orders", "h_order_pk", ["order_id"], ["cost", "payment"]),
+    "s_order_status": ("orders", "h_order_pk", ["order_id"], ["status"]),
+    "s_order_product_details": (
+        "items",
+        "hk_order_product_pk",
+        ["order_id", "product_id"],
+        ["price", "quantity"],
+    ),
+}
+
+
 def load_order_vault(
     current: Mapping[str, DataFrame] | None,
-    messages: DataFrame,
+    stage: Mapping[str, DataFrame],
     load_ts: datetime | Column,
-    payload: str = "payload",
     src: str = ORDER_SOURCE,
+    only_new: bool = False,
 ) -> dict[str, DataFrame]:
-    """Load order messages into five hubs, four links and six satellites.
+    """Load shredded orders into five hubs, four links and six satellites.
 
     Set-based: every table is one aggregate over the batch plus a keyed join
     with the current table; replaying a batch changes nothing but ``load_dt``
-    of the satellites it rewrites.
+    of the satellite rows it brings again. ``only_new`` yields the rows to
+    append: new hub and link keys, and the batch's satellite rows.
     """
-    stage = shred_orders(messages, payload)
-    orders, items = stage["orders"], stage["items"]
     have = (current or {}).get
-
-    def hub(name, rows, bk, attrs=()):
-        return load_hub(have(name), rows, bk, f"{name}_pk", load_ts, src, attrs)
-
-    def link(name, rows, keys):
-        return load_link(have(name), rows, keys, f"hk_{name[2:]}_pk", load_ts, src)
-
-    def sat(name, rows, hk, attrs):
-        return load_satellite(have(name), rows, hk, attrs, load_ts, src)
-
-    return {
-        "h_order": hub("h_order", orders, "order_id", ["order_dt"]),
-        "h_user": hub("h_user", orders, "user_id"),
-        "h_restaurant": hub("h_restaurant", orders, "restaurant_id"),
-        "h_product": hub("h_product", items, "product_id"),
-        "h_category": hub("h_category", items, "category_name"),
-        "l_order_user": link(
-            "l_order_user", orders, {"h_order_pk": "order_id", "h_user_pk": "user_id"}
-        ),
-        "l_order_product": link(
-            "l_order_product", items, {"h_order_pk": "order_id", "h_product_pk": "product_id"}
-        ),
-        "l_product_restaurant": link(
-            "l_product_restaurant",
-            items,
-            {"h_product_pk": "product_id", "h_restaurant_pk": "restaurant_id"},
-        ),
-        "l_product_category": link(
-            "l_product_category",
-            items,
-            {"h_product_pk": "product_id", "h_category_pk": "category_name"},
-        ),
-        "s_user_names": sat(
-            "s_user_names",
-            orders.where(F.col("user_id").isNotNull()).withColumn("h_user_pk", md5_key("user_id")),
-            "h_user_pk",
-            ["username", "userlogin"],
-        ),
-        "s_product_names": sat(
-            "s_product_names",
-            items.withColumn("h_product_pk", md5_key("product_id")),
-            "h_product_pk",
-            ["product_name"],
-        ),
-        "s_restaurant_names": sat(
-            "s_restaurant_names",
-            orders.where(F.col("restaurant_id").isNotNull()).withColumn(
-                "h_restaurant_pk", md5_key("restaurant_id")
-            ),
-            "h_restaurant_pk",
-            ["restaurant_name"],
-        ),
-        "s_order_cost": sat(
-            "s_order_cost",
-            orders.withColumn("h_order_pk", md5_key("order_id")),
-            "h_order_pk",
-            ["cost", "payment"],
-        ),
-        "s_order_status": sat(
-            "s_order_status",
-            orders.withColumn("h_order_pk", md5_key("order_id")),
-            "h_order_pk",
-            ["status"],
-        ),
-        "s_order_product_details": sat(
-            "s_order_product_details",
-            items.where(F.col("product_id").isNotNull()).withColumn(
-                "hk_order_product_pk",
-                md5_key(md5_key("order_id"), md5_key("product_id")),
-            ),
-            "hk_order_product_pk",
-            ["price", "quantity"],
-        ),
-    }
+    out = {}
+    for name, (source, bk, attrs) in HUBS.items():
+        out[name] = load_hub(
+            have(name), stage[source], bk, f"{name}_pk", load_ts, src, attrs, only_new
+        )
+    for name, (source, hk, keys) in LINKS.items():
+        out[name] = load_link(have(name), stage[source], keys, hk, load_ts, src, only_new)
+    for name, (source, hk, bks, attrs) in SATELLITES.items():
+        rows = stage[source].dropna(subset=bks)
+        key = md5_key(bks[0]) if len(bks) == 1 else md5_key(*[md5_key(b) for b in bks])
+        out[name] = load_satellite(
+            None if only_new else have(name),
+            rows.withColumn(hk, key),
+            hk,
+            attrs,
+            load_ts,
+            src,
+        )
+    return out

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from martkit.functions.dates import local_time, week_start
 from martkit.operators.pairs import co_occurring_pairs, exclude_known_pairs
 from martkit.operators.points import nearest_point
-from martkit.operators.select import count_by_value, flag_first, latest_per_key, ordered_list
+from martkit.operators.select import best_per_group, latest_per_key, ordered_list
 from martkit.operators.sequences import islands, longest_island
 
 KINDS = ("message", "reaction", "subscription")
@@ -55,34 +55,41 @@ def user_cities(
     )
 
 
+def status_totals(grouped: GroupedData) -> DataFrame:
+    return grouped.agg(
+        *[F.count_if(F.col("event_type") == k).alias(f"week_{k}") for k in KINDS]
+    )
+
+
 def zone_metrics(events: DataFrame, cities: DataFrame) -> DataFrame:
     """Messages, reactions, subscriptions and new users per (zone, month, week)."""
-    located = nearest_point(
-        events.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()),
-        cities,
-        "event_id",
-        "city_id",
-    ).withColumnRenamed("city_id", "zone_id")
-    flagged = flag_first(
-        located.select("event_id", "event_type", "user_id", "ts", "zone_id"),
-        "user_id",
-        ["ts", "event_id"],
-        "event_id",
-        where=F.col("event_type") == "message",
-        name="is_new_user",
+    sent = events.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(
+        "event_id", "event_type", "user_id", "ts", "lat", "lon"
     )
-    dated = flagged.select(
-        "zone_id",
-        F.to_date(F.date_trunc("month", "ts")).alias("month"),
-        week_start(F.col("ts")).alias("week"),
-        "event_type",
-        "is_new_user",
+    # a user's first message is found before it is located: one row per user
+    firsts = best_per_group(
+        sent.where((F.col("event_type") == "message") & F.col("user_id").isNotNull()),
+        ["user_id"],
+        [F.col("ts"), F.col("event_id")],
+        largest=False,
     )
     grain = ["zone_id", "month", "week"]
-    counts = dated.groupBy(*grain).agg(
-        *[F.count_if(F.col("event_type") == k).alias(f"week_{k}") for k in KINDS],
-        F.sum("is_new_user").alias("week_user"),
-    )
+
+    def by_zone(rows: DataFrame):
+        return (
+            nearest_point(rows, cities, "event_id", "city_id")
+            .select(
+                F.col("city_id").alias("zone_id"),
+                F.to_date(F.date_trunc("month", "ts")).alias("month"),
+                week_start(F.col("ts")).alias("week"),
+                "event_type",
+            )
+            .groupBy(*grain)
+        )
+
+    weekly = status_totals(by_zone(sent))
+    newcomers = by_zone(firsts).agg(F.count("*").alias("week_user"))
+    counts = weekly.join(newcomers, grain, "left").na.fill(0, ["week_user"])
     # a month has at most six weeks, so this window only sees tiny groups
     of_month = Window.partitionBy("zone_id", "month")
     return counts.select(
@@ -94,11 +101,6 @@ def zone_metrics(events: DataFrame, cities: DataFrame) -> DataFrame:
     )
 
 
-def status_totals(events: DataFrame, group: list[str]) -> DataFrame:
-    """Events by kind for a coarser grain."""
-    return count_by_value(events, group, "event_type", {f"{k}_count": k for k in KINDS})
-
-
 def friend_recommendations(
     subscriptions: DataFrame,
     messages: DataFrame,
