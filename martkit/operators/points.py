@@ -71,15 +71,16 @@ def nearest_point(
     place_lat: str = "lat",
     place_lon: str = "lon",
     keep: Sequence[str] = (),
-    max_packed: int = 2000,
+    max_packed: int = 1000,
     grid_km: float = 25.0,
 ) -> DataFrame:
     """Add the nearest place (its id, the ``keep`` columns, ``distance_km``) to each event.
 
     Events without coordinates get nulls. The smallest id wins a tie. Up to
-    ``max_packed`` places (checked by a count that stops there) travel as one
-    array next to the scan, so events are neither shuffled nor multiplied;
-    more places go through a grid join. ``event_id`` must be unique.
+    ``max_packed`` places (checked by a count that stops there) are laid over a
+    fixed raster, and events look up the few candidates of their raster cell:
+    they are neither shuffled nor multiplied. More places go through a grid
+    join. ``event_id`` must be unique.
     """
     x, y, z = unit_vector(F.col(place_lat).cast("double"), F.col(place_lon).cast("double"))
     points = places.where(F.col(place_lat).isNotNull() & F.col(place_lon).isNotNull()).select(
@@ -92,7 +93,7 @@ def nearest_point(
         F.struct(F.col(place_id), *[F.col(c) for c in keep]).alias("_info"),
     )
     if points.limit(max_packed + 1).count() <= max_packed:
-        found = _nearest_packed(events, points, lat, lon)
+        found = _nearest_by_raster(events, points, lat, lon)
     else:
         found = _nearest_by_grid(events, points, event_id, lat, lon, grid_km)
     best = F.col("_best")
@@ -104,38 +105,82 @@ def nearest_point(
     )
 
 
-def _candidate(chord: Column, row) -> Column:
-    return F.struct(
-        chord.alias("chord"),
-        row("_id").alias("id"),
-        row("_plat").alias("plat"),
-        row("_plon").alias("plon"),
-        row("_info").alias("info"),
-    )
+_RASTER_DEGREES = 2
+_RASTER_COLUMNS = 360 // _RASTER_DEGREES
+_RASTER_ROWS = 180 // _RASTER_DEGREES
+# no point of a raster cell is farther than this from the cell's centre
+_RASTER_RADIUS_KM = math.radians(_RASTER_DEGREES / math.sqrt(2)) * EARTH_RADIUS_KM + 0.1
+
 
+def _chord(at: tuple[Column, Column, Column], place: Column) -> Column:
+    x, y, z = (at[i] - place[name] for i, name in enumerate(("_x", "_y", "_z")))
+    return x * x + y * y + z * z
 
-def _nearest_packed(events: DataFrame, points: DataFrame, lat: str, lon: str) -> DataFrame:
-    packed = points.agg(F.collect_list(F.struct(*points.columns))).scalar()
-    ex, ey, ez = (F.col(c) for c in ("_ex", "_ey", "_ez"))
 
-    def scored(p: Column) -> Column:
-        chord = (
-            (ex - p["_x"]) * (ex - p["_x"])
-            + (ey - p["_y"]) * (ey - p["_y"])
-            + (ez - p["_z"]) * (ez - p["_z"])
+def _nearest_by_raster(events: DataFrame, points: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Candidates per raster cell, then the nearest of them per event.
+
+    A place can be nearest to some point of a cell only if its distance from
+    the centre exceeds the least such distance by at most two cell radii. The
+    candidate table has a fixed number of rows and at most ``max_packed``
+    small integers in each, about 65 MB at the very most, so it is broadcast.
+    """
+    packed = points.agg(F.array_sort(F.collect_list(F.struct(*points.columns)))).scalar()
+    centre_lat = F.floor(F.col("_cell") / _RASTER_COLUMNS) * _RASTER_DEGREES - 90 + 1.0
+    centre_lon = F.col("_cell") % _RASTER_COLUMNS * _RASTER_DEGREES - 180 + 1.0
+    reach = F.array_min("_far") + 2 * _RASTER_RADIUS_KM
+    cells = (
+        events.sparkSession.range(_RASTER_ROWS * _RASTER_COLUMNS)
+        .select(F.col("id").cast("int").alias("_cell"), packed.alias("_all"))
+        .select("_cell", "_all", centre_lat.alias("_clat"), centre_lon.alias("_clon"))
+        .select(
+            "_cell",
+            F.transform(
+                "_all",
+                lambda p: haversine_km(F.col("_clat"), F.col("_clon"), p["_plat"], p["_plon"]),
+            ).alias("_far"),
         )
-        return _candidate(chord, lambda name: p[name])
+        .select(
+            "_cell",
+            F.filter(
+                F.sequence(F.lit(0), F.size("_far") - 1),
+                lambda i: F.get("_far", i) <= reach,
+            ).alias("_candidates"),
+        )
+    )
+    row = F.least(F.floor((F.col(lat) + 90) / _RASTER_DEGREES), F.lit(_RASTER_ROWS - 1))
+    column = F.floor(F.pmod(F.col(lon) + 180, F.lit(360.0)) / _RASTER_DEGREES)
+    at = (F.col("_ex"), F.col("_ey"), F.col("_ez"))
 
-    placed = events.withColumns(
-        {
-            "_places": packed,
-            **dict(zip(("_ex", "_ey", "_ez"), unit_vector(F.col(lat), F.col(lon)))),
-        }
+    def scored(i: Column) -> Column:
+        place = F.get("_all", i)
+        return F.struct(_chord(at, place).alias("chord"), place["_id"].alias("id"), i.alias("i"))
+
+    nearest = F.array_min(F.transform("_candidates", scored))["i"]
+    chosen = F.get("_all", F.col("_nearest"))
+    return (
+        events.withColumn("_cell", (row * _RASTER_COLUMNS + column).cast("int"))
+        .join(F.broadcast(cells), "_cell", "left")
+        .withColumns(
+            {
+                "_all": packed,
+                **dict(zip(("_ex", "_ey", "_ez"), unit_vector(F.col(lat), F.col(lon)))),
+            }
+        )
+        .withColumn("_nearest", nearest)
+        .withColumn(
+            "_best",
+            F.when(
+                F.col("_nearest").isNotNull(),
+                F.struct(
+                    chosen["_plat"].alias("plat"),
+                    chosen["_plon"].alias("plon"),
+                    chosen["_info"].alias("info"),
+                ),
+            ),
+        )
+        .drop("_cell", "_candidates", "_all", "_ex", "_ey", "_ez", "_nearest")
     )
-    located = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    return placed.withColumn(
-        "_best", F.when(located, F.array_min(F.transform("_places", scored)))
-    ).drop("_places", "_ex", "_ey", "_ez")
 
 
 def _nearest_by_grid(
@@ -145,8 +190,16 @@ def _nearest_by_grid(
     open_events = events.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
         F.col(event_id).alias("_event"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon")
     )
-    ex, ey, ez = unit_vector(F.col("_lat"), F.col("_lon"))
-    chord = F.pow(ex - F.col("_x"), 2) + F.pow(ey - F.col("_y"), 2) + F.pow(ez - F.col("_z"), 2)
+    chord = _chord(
+        unit_vector(F.col("_lat"), F.col("_lon")), F.struct("_x", "_y", "_z")
+    )
+    candidate = F.struct(
+        chord.alias("chord"),
+        F.col("_id").alias("id"),
+        F.col("_plat").alias("plat"),
+        F.col("_plon").alias("plon"),
+        F.col("_info").alias("info"),
+    )
     found = None
     while True:
         cells = points.withColumn("_cell", F.explode(near_cells(F.col("_plat"), F.col("_plon"), km)))
@@ -154,7 +207,7 @@ def _nearest_by_grid(
             open_events.withColumn("_own", own_cell(F.col("_lat"), F.col("_lon"), km))
             .join(cells, F.col("_own") == F.col("_cell"), "left")
             .groupBy("_event", "_lat", "_lon")
-            .agg(F.min(F.when(F.col("_id").isNotNull(), _candidate(chord, F.col))).alias("_best"))
+            .agg(F.min(F.when(F.col("_id").isNotNull(), candidate)).alias("_best"))
         )
         distance = haversine_km(
             F.col("_lat"), F.col("_lon"), F.col("_best.plat"), F.col("_best.plon")

@@ -25,27 +25,27 @@ def active_at(df: DataFrame, start: str, end: str, as_of: Column) -> DataFrame:
     return df.where((F.col(start) <= as_of) & (as_of < F.col(end)))
 
 
-def _extreme_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column], pick) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*rest)
-    best = df.groupBy(*keys).agg(pick(row, F.struct(*order)).alias("_row"))
-    return best.select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in rest]).select(*df.columns)
+def _first_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """First row per key.
 
+    The filter sits directly on the row number, so Spark keeps one row per key
+    and map task before the shuffle: a hot key never travels whole, and columns
+    nobody reads later are still pruned.
+    """
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_row", F.row_number().over(window)).where(F.col("_row") == 1).drop("_row")
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key, the greatest by ``order_by``.
 
-    An aggregate, not a window: each map task keeps one row per key, so a hot
-    key never travels whole. End ``order_by`` with a unique column.
-    """
-    return _extreme_row(df, keys, [F.col(c) for c in order_by], F.max_by)
+def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """One row per key, the greatest by ``order_by``; end it with a unique column."""
+    return _first_row(df, keys, [F.col(c).desc() for c in order_by])
 
 
 def best_per_group(
     df: DataFrame, by: Sequence[str], order_by: Sequence[Column], largest: bool = True
 ) -> DataFrame:
     """Arg-max (or arg-min) row per group over ``order_by`` expressions."""
-    return _extreme_row(df, by, order_by, F.max_by if largest else F.min_by)
+    return _first_row(df, by, [c.desc() if largest else c.asc() for c in order_by])
 
 
 def top_k_per_group(df: DataFrame, by: Sequence[str], order_by: Sequence[Column], k: int) -> DataFrame:

@@ -154,11 +154,15 @@ ORDER_MESSAGE = """
 ORDER_SOURCE = "orders-system-kafka"
 
 
-def shred_orders(messages: DataFrame, payload: str = "payload") -> dict[str, DataFrame]:
-    """Flatten order documents into an ``orders`` and an ``items`` stage."""
-    parsed = messages.select(F.from_json(payload, ORDER_MESSAGE).alias("o")).where(
+def parse_orders(messages: DataFrame, payload: str = "payload") -> DataFrame:
+    """Order documents as one struct column ``o``; texts that are no order are left out."""
+    return messages.select(F.from_json(payload, ORDER_MESSAGE).alias("o")).where(
         F.col("o.id").isNotNull()
     )
+
+
+def shred_orders(parsed: DataFrame) -> dict[str, DataFrame]:
+    """Parsed orders as an ``orders`` and an ``items`` stage."""
     orders = parsed.select(
         F.col("o.id").alias("order_id"),
         F.to_timestamp("o.date").alias("order_dt"),
@@ -174,12 +178,10 @@ def shred_orders(messages: DataFrame, payload: str = "payload") -> dict[str, Dat
     items = parsed.select(
         F.col("o.id").alias("order_id"),
         F.col("o.restaurant.id").alias("restaurant_id"),
-        F.col("o.user.id").alias("user_id"),
         F.explode("o.products").alias("p"),
     ).select(
         "order_id",
         "restaurant_id",
-        "user_id",
         F.col("p.id").alias("product_id"),
         F.col("p.name").alias("product_name"),
         F.col("p.category").alias("category_name"),
@@ -190,13 +192,13 @@ def shred_orders(messages: DataFrame, payload: str = "payload") -> dict[str, Dat
 
 
 def store_stage(messages: DataFrame, path: str, payload: str = "payload") -> dict[str, DataFrame]:
-    """Shred the documents once into columnar tables below ``path`` and read those."""
-    stored = {}
-    for name, df in shred_orders(messages, payload).items():
-        target = f"{path.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(target)
-        stored[name] = df.sparkSession.read.schema(df.schema).parquet(target)
-    return stored
+    """Parse the documents once into a columnar table at ``path`` and shred that.
+
+    Fifteen tables read the stage; each then scans only its own nested fields.
+    """
+    parsed = parse_orders(messages, payload)
+    parsed.write.mode("overwrite").parquet(path)
+    return shred_orders(parsed.sparkSession.read.schema(parsed.schema).parquet(path))
 
 
 # hub -> (stage, business key, attributes)
