@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martkit.operators.points import pairs_within_km
+from martkit.session import settle
 
 
 def co_occurring_pairs(
@@ -21,8 +22,9 @@ def co_occurring_pairs(
     Group and grid cell form one join key, so a popular group never meets
     itself as a whole: only neighbours inside it are compared.
     """
-    located = members.select(id_col, group_col).distinct().join(
-        points.select(id_col, "lat", "lon"), id_col
+    # read four times below (counting and joining, on both sides), so written once
+    located = settle(
+        members.select(id_col, group_col).distinct().join(points.select(id_col, "lat", "lon"), id_col)
     )
     return (
         pairs_within_km(located, id_col, km, share=group_col, block_rows=block_rows)

@@ -36,29 +36,32 @@ def _column_in_band(lon: Column, cells: Column) -> Column:
     return F.least(F.floor(turned * cells).cast("int"), cells - 1)
 
 
-def own_cell(lat: Column, lon: Column, km: float) -> Column:
-    """Grid cell (band, column) of a point on a grid made for radius ``km``."""
-    band = _band(lat, km)
-    return F.struct(
-        band.alias("band"), _column_in_band(lon, _cells_in_band(band, km)).alias("column")
+def with_own_cell(df: DataFrame, lat: str, lon: str, km: float) -> DataFrame:
+    """Add the grid cell (``_band``, ``_column``) of a point, on a grid made for ``km``."""
+    return df.withColumn("_band", _band(F.col(lat), km)).withColumn(
+        "_column", _column_in_band(F.col(lon), _cells_in_band(F.col("_band"), km))
     )
 
 
-def near_cells(lat: Column, lon: Column, km: float) -> Column:
-    """All cells that can hold a point within ``km``, across the date line and poles."""
+def with_near_cells(df: DataFrame, lat: str, lon: str, km: float) -> DataFrame:
+    """One row per cell that can hold a point within ``km``, across date line and poles.
 
-    def around(band: Column) -> Column:
-        cells = _cells_in_band(band, km)
-        middle = _column_in_band(lon, cells)
-        return F.transform(
-            F.array(F.lit(-1), F.lit(0), F.lit(1)),
-            lambda step: F.struct(
-                band.alias("band"), F.pmod(middle + step, cells).alias("column")
-            ),
-        )
-
-    bands = F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda s: _band(lat, km) + s)
-    return F.array_distinct(F.flatten(F.transform(bands, around)))
+    At most nine: three bands, and in each the point's column and its
+    neighbours. A band of one or two cells has fewer neighbours.
+    """
+    steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    step, cells = F.col("_step"), F.col("_cells")
+    distinct = (step == 0) | (cells >= 3) | ((cells == 2) & (step == 1))
+    return (
+        df.withColumn("_near", F.explode(steps))
+        .withColumn("_band", _band(F.col(lat), km) + F.col("_near"))
+        .withColumn("_cells", _cells_in_band(F.col("_band"), km))
+        .withColumn("_middle", _column_in_band(F.col(lon), cells))
+        .withColumn("_step", F.explode(steps))
+        .where(distinct)
+        .withColumn("_column", F.pmod(F.col("_middle") + step, cells))
+        .drop("_near", "_cells", "_middle", "_step")
+    )
 
 
 def nearest_point(
@@ -105,11 +108,11 @@ def nearest_point(
     )
 
 
-_RASTER_DEGREES = 2
+_RASTER_DEGREES = 4
 _RASTER_COLUMNS = 360 // _RASTER_DEGREES
 _RASTER_ROWS = 180 // _RASTER_DEGREES
-# no point of a raster cell is farther than this from the cell's centre
-_RASTER_RADIUS_KM = math.radians(_RASTER_DEGREES / math.sqrt(2)) * EARTH_RADIUS_KM + 0.1
+# no point of a raster cell is farther than this from the cell's centre, on the unit sphere
+_RASTER_RADIUS = math.radians(_RASTER_DEGREES / math.sqrt(2)) * 1.001
 
 
 def _chord(at: tuple[Column, Column, Column], place: Column) -> Column:
@@ -120,26 +123,26 @@ def _chord(at: tuple[Column, Column, Column], place: Column) -> Column:
 def _nearest_by_raster(events: DataFrame, points: DataFrame, lat: str, lon: str) -> DataFrame:
     """Candidates per raster cell, then the nearest of them per event.
 
-    A place can be nearest to some point of a cell only if its distance from
-    the centre exceeds the least such distance by at most two cell radii. The
-    candidate table has a fixed number of rows and at most ``max_packed``
-    small integers in each, about 65 MB at the very most, so it is broadcast.
+    By the triangle inequality a place can be nearest to some point of a cell
+    only if its distance from the centre exceeds the least such distance by at
+    most two cell radii. The candidate table has a fixed number of rows (4,050)
+    and at most ``max_packed`` small integers in each, about 16 MB at the very
+    most, so it is broadcast.
     """
     packed = points.agg(F.array_sort(F.collect_list(F.struct(*points.columns)))).scalar()
-    centre_lat = F.floor(F.col("_cell") / _RASTER_COLUMNS) * _RASTER_DEGREES - 90 + 1.0
-    centre_lon = F.col("_cell") % _RASTER_COLUMNS * _RASTER_DEGREES - 180 + 1.0
-    reach = F.array_min("_far") + 2 * _RASTER_RADIUS_KM
+    half = _RASTER_DEGREES / 2
+    centre = unit_vector(
+        F.floor(F.col("_cell") / _RASTER_COLUMNS) * _RASTER_DEGREES - 90 + half,
+        F.col("_cell") % _RASTER_COLUMNS * _RASTER_DEGREES - 180 + half,
+    )
+    names = ("_cx", "_cy", "_cz")
+    at_centre = tuple(F.col(n) for n in names)
+    reach = F.array_min("_far") + 2 * _RASTER_RADIUS
     cells = (
         events.sparkSession.range(_RASTER_ROWS * _RASTER_COLUMNS)
         .select(F.col("id").cast("int").alias("_cell"), packed.alias("_all"))
-        .select("_cell", "_all", centre_lat.alias("_clat"), centre_lon.alias("_clon"))
-        .select(
-            "_cell",
-            F.transform(
-                "_all",
-                lambda p: haversine_km(F.col("_clat"), F.col("_clon"), p["_plat"], p["_plon"]),
-            ).alias("_far"),
-        )
+        .select("_cell", "_all", *[c.alias(n) for c, n in zip(centre, names)])
+        .select("_cell", F.transform("_all", lambda p: F.sqrt(_chord(at_centre, p))).alias("_far"))
         .select(
             "_cell",
             F.filter(
@@ -202,10 +205,10 @@ def _nearest_by_grid(
     )
     found = None
     while True:
-        cells = points.withColumn("_cell", F.explode(near_cells(F.col("_plat"), F.col("_plon"), km)))
+        cells = with_near_cells(points, "_plat", "_plon", km)
         matched = (
-            open_events.withColumn("_own", own_cell(F.col("_lat"), F.col("_lon"), km))
-            .join(cells, F.col("_own") == F.col("_cell"), "left")
+            with_own_cell(open_events, "_lat", "_lon", km)
+            .join(cells, ["_band", "_column"], "left")
             .groupBy("_event", "_lat", "_lon")
             .agg(F.min(F.when(F.col("_id").isNotNull(), candidate)).alias("_best"))
         )
@@ -243,25 +246,21 @@ def pairs_within_km(
     usable = points.where(
         F.col(id_col).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull()
     )
-    extra = [] if share is None else [F.col(share)]
-    left = usable.select(
-        F.col(id_col).alias("id_left"),
-        F.col(lat).cast("double").alias("_lat_l"),
-        F.col(lon).cast("double").alias("_lon_l"),
-        *extra,
-        F.explode(near_cells(F.col(lat).cast("double"), F.col(lon).cast("double"), km)).alias("_cell"),
-    )
-    right = usable.select(
-        F.col(id_col).alias("id_right"),
-        F.col(lat).cast("double").alias("_lat_r"),
-        F.col(lon).cast("double").alias("_lon_r"),
-        *extra,
-        own_cell(F.col(lat).cast("double"), F.col(lon).cast("double"), km).alias("_cell"),
-    )
     keys = ["_band", "_column", *([share] if share else [])]
-    left = left.withColumns({"_band": F.col("_cell.band"), "_column": F.col("_cell.column")}).drop("_cell")
-    right = right.withColumns({"_band": F.col("_cell.band"), "_column": F.col("_cell.column")}).drop("_cell")
-    distance = haversine_km(F.col("_lat_l"), F.col("_lon_l"), F.col("_lat_r"), F.col("_lon_r"))
+
+    def side(name: str) -> DataFrame:
+        return usable.select(
+            F.col(id_col).alias(f"id_{name}"),
+            F.col(lat).cast("double").alias(f"_lat_{name}"),
+            F.col(lon).cast("double").alias(f"_lon_{name}"),
+            *([share] if share else []),
+        )
+
+    left = with_near_cells(side("left"), "_lat_left", "_lon_left", km)
+    right = with_own_cell(side("right"), "_lat_right", "_lon_right", km)
+    distance = haversine_km(
+        F.col("_lat_left"), F.col("_lon_left"), F.col("_lat_right"), F.col("_lon_right")
+    )
     pairs = split_hot_join(
         left,
         right,
