@@ -14,7 +14,9 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     h = F.pow(F.sin(half_lat), F.lit(2.0)) + F.cos(F.radians(lat1)) * F.cos(
         F.radians(lat2)
     ) * F.pow(F.sin(half_lon), F.lit(2.0))
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    # rounding may lift h just above 1; least() would turn an unknown h into 1
+    capped = F.when(h > 1, F.lit(1.0)).otherwise(h)
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(capped))
 
 
 def unit_vector(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
