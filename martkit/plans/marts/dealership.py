@@ -73,11 +73,16 @@ def month_price(sales: DataFrame, year: int) -> DataFrame:
 
 
 def client_purchases(sales: DataFrame) -> DataFrame:
-    """Cars bought by each client as one text, in alphabetical order."""
-    car = F.concat_ws(" ", "brand", "model")
-    return sales.groupBy("person_name", "phone").agg(
-        F.array_join(F.array_sort(F.collect_list(car)), ", ").alias("cars")
-    )
+    """Cars bought by each client as one text, in alphabetical order, repeats included.
+
+    Repeats are counted first, so what meets in one task per client is bounded
+    by the number of different cars.
+    """
+    car = F.concat_ws(" ", "brand", "model").alias("car")
+    counts = sales.groupBy("person_name", "phone", car).agg(F.count("*").cast("int").alias("n"))
+    listed = F.array_sort(F.collect_list(F.struct("car", "n")))
+    repeated = F.flatten(F.transform(listed, lambda c: F.array_repeat(c["car"], c["n"])))
+    return counts.groupBy("person_name", "phone").agg(F.array_join(repeated, ", ").alias("cars"))
 
 
 def list_price_range(sales: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martkit.operators.load import upsert
+
 # Fixed values: (rating below, share of the order sum, minimum per order), the
 # rates of the last tier, the processing fee and the courier's part of tips.
 TIERS = [(4.0, "0.05", 100), (4.5, "0.07", 150), (4.9, "0.08", 175)]
@@ -12,6 +14,12 @@ TOP_TIER = ("0.10", 200)
 PROCESSING_FEE = "0.25"
 TIPS_SHARE = "0.95"
 
+# Fixed value: the delivery document.
+DELIVERY = """
+    delivery_id string, courier_id bigint, order_id bigint, address string,
+    delivery_ts string, rate int, tip_sum decimal(14,2)
+"""
+
 
 def courier_ledger(
     orders: DataFrame, deliveries: DataFrame, product_sales: DataFrame, couriers: DataFrame
@@ -75,3 +83,16 @@ def courier_ledger(
             "courier_reward_sum",
         )
     )
+
+
+LEDGER_KEY = ["courier_id", "settlement_year", "settlement_month"]
+
+
+def shred_deliveries(documents: DataFrame) -> DataFrame:
+    """Typed deliveries from landed documents (object_id, object_value)."""
+    return documents.select(F.from_json("object_value", DELIVERY).alias("d")).select("d.*")
+
+
+def refresh_ledger(current: DataFrame, computed: DataFrame) -> DataFrame:
+    """Ledger with the computed months replaced or added."""
+    return upsert(current, computed, LEDGER_KEY)

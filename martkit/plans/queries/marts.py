@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from martkit.operators.load import replace_slice
+from martkit.operators.load import conform_union, replace_slice
 from martkit.plans import standins as s
 from martkit.plans.marts import (
     campaigns,
+    craft_warehouse,
     currency,
     customer_report,
     dealership,
@@ -21,11 +22,11 @@ from martkit.plans.marts import (
 )
 from martkit.plans.queries.oracle import with_
 from martkit.plans.queries.registry import query
+from martkit.sources.documents import land_documents
 from martkit.sources.files import refresh_table
 
 
-@query(
-    "courier_ledger",
+_LEDGER = (
     with_(
         "deliveries",
         totals="""SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS total
@@ -50,14 +51,33 @@ from martkit.sources.files import refresh_table
         CAST(orders_total_sum * 0.25 AS DOUBLE) AS order_processing_fee,
         CAST(courier_order_sum AS DOUBLE) AS courier_order_sum,
         CAST(courier_tips_sum AS DOUBLE) AS courier_tips_sum,
-        CAST(courier_order_sum + courier_tips_sum * 0.95 AS DOUBLE) AS courier_reward_sum FROM sums""",
+        CAST(courier_order_sum + courier_tips_sum * 0.95 AS DOUBLE) AS courier_reward_sum FROM sums"""
 )
+
+
+@query("courier_ledger", _LEDGER)
 def courier_ledger(t):
     return ledger.courier_ledger(
         s.courier_orders(t), s.deliveries(t), s.product_sales(t), s.couriers(t)
     )
 
 
+@query("courier_ledger_pipeline", _LEDGER)
+def courier_pipeline(t):
+    """Landed documents, typed deliveries, ledger, and an upsert of the years from 1999 on."""
+    rows = s.deliveries(t).withColumn("update_ts", F.lit("2024-01-01").cast("timestamp"))
+    landed = refresh_table(land_documents(rows, "delivery_id", "update_ts"), t.scratch("deliveries"))
+    computed = ledger.courier_ledger(
+        s.courier_orders(t), ledger.shred_deliveries(landed), s.product_sales(t), s.couriers(t)
+    )
+    stored = refresh_table(computed, t.scratch("ledger"))
+    stale = stored.withColumn(
+        "courier_name",
+        F.when(F.col("settlement_year") >= 1999, F.lit("stale")).otherwise(F.col("courier_name")),
+    )
+    return ledger.refresh_ledger(stale, stored.where(F.col("settlement_year") >= 1999))
+
+
 _REPORT = with_(
     "craft_fact",
     "craft_customers",
@@ -185,8 +205,7 @@ def triggers(t):
     return campaigns.campaign_triggers(s.campaigns(t), s.subscribers(t), F.lit(1705276800))
 
 
-@query(
-    "global_metrics",
+_METRICS = (
     with_("transactions")
     + """SELECT CAST(transaction_dt AS DATE) AS date_update, currency_code AS currency_from,
         CAST(sum(amount * CAST((currency_code % 9 + 1) * 0.125 AS DECIMAL(5,3))) AS DOUBLE) AS amount_total,
@@ -196,12 +215,77 @@ def triggers(t):
         count(DISTINCT account_number_from) AS cnt_accounts_make_transactions,
         CAST(sum(amount * CAST((currency_code % 9 + 1) * 0.125 AS DECIMAL(5,3))) AS DOUBLE)
             / count(DISTINCT account_number_from) AS avg_amount_per_account
-    FROM transactions WHERE status = 'done' AND account_number_from >= 0 GROUP BY ALL""",
+    FROM transactions WHERE status = 'done' AND account_number_from >= 0 GROUP BY ALL"""
 )
+
+
+@query("global_metrics", _METRICS)
 def metrics(t):
     return currency.global_metrics(s.transactions(t), s.currency_rates(t), 0)
 
 
+@query("global_metrics_daily", _METRICS)
+def metrics_daily(t):
+    """A stored mart after one business day was run again."""
+    moved, rates = s.transactions(t), s.currency_rates(t)
+    stored = refresh_table(currency.global_metrics(moved, rates, 0), t.scratch("global-metrics"))
+    day = currency.global_metrics(moved, rates, 0, date(1998, 7, 1))
+    return replace_slice(stored, day, "date_update")
+
+
+_STAGED = """SELECT DISTINCT f.* EXCLUDE (load_dttm, product_id, craftsman_id, customer_id),
+        customer_name, customer_address, customer_birthday, customer_email, craftsman_name,
+        craftsman_email, product_name, product_description, product_type
+    FROM craft_fact f JOIN craft_customers c ON f.customer_id = c.customer_id
+    JOIN craft_craftsmen m ON f.craftsman_id = m.craftsman_id
+    JOIN craft_products p ON f.product_id = p.product_id"""
+
+
+@query(
+    "craft_warehouse",
+    with_(
+        "craft_fact",
+        "craft_customers",
+        "craft_craftsmen",
+        "craft_products",
+        staged=_STAGED,
+        people="""SELECT customer_name, customer_email, row_number() OVER (
+            ORDER BY first_day >= DATE '1998-01-01', customer_name, customer_email) AS customer_id
+            FROM (SELECT customer_name, customer_email, min(order_created_date) AS first_day
+                FROM staged GROUP BY customer_name, customer_email)""",
+        goods="""SELECT product_name, product_description, product_price,
+            max(product_type) AS product_type FROM staged GROUP BY 1, 2, 3""",
+        loaded="""SELECT product_name, product_description, product_price, craftsman_name,
+            craftsman_email, customer_name, customer_email, order_created_date,
+            max((order_completion_date, order_status)) AS last FROM staged GROUP BY ALL""",
+        sold="""SELECT * FROM loaded JOIN people USING (customer_name, customer_email)
+            JOIN goods USING (product_name, product_description, product_price)""",
+        kinds="""SELECT customer_id, product_type, row_number() OVER (PARTITION BY customer_id
+            ORDER BY count(*) DESC, product_type) AS rn FROM sold GROUP BY customer_id, product_type""",
+    )
+    + """SELECT s.customer_id, s.customer_name, strftime(order_created_date, '%Y-%m') AS report_period,
+        count(*) AS count_order, CAST(sum(product_price) AS DOUBLE) AS customer_money,
+        k.product_type AS top_product_category,
+        median(date_diff('day', order_created_date, last[1])) AS median_time_order_completed,
+        count(*) FILTER (WHERE last[2] = 'done') AS count_order_done
+    FROM sold s JOIN kinds k ON k.customer_id = s.customer_id AND k.rn = 1 GROUP BY ALL""",
+)
+def warehouse(t):
+    """Four sources conformed and loaded in two batches, then the report."""
+    staged = refresh_table(conform_union(s.craft_sources(t)), t.scratch("staged"))
+    newer = F.col("order_created_date") >= F.lit("1998-01-01").cast("date")
+    first = craft_warehouse.load_warehouse(
+        craft_warehouse.empty_tables(staged), staged.where(~newer), datetime(2024, 1, 1)
+    )
+    stored = {n: refresh_table(df, t.scratch(f"dwh-{n}")) for n, df in first.items()}
+    second = craft_warehouse.load_warehouse(stored, staged, datetime(2024, 1, 2))
+    final = {n: refresh_table(df, t.scratch(f"dwh-{n}")) for n, df in second.items()}
+    return craft_warehouse.report(final).select(
+        "customer_id", "customer_name", "report_period", "count_order", "customer_money",
+        "top_product_category", "median_time_order_completed", "count_order_done",
+    )
+
+
 # car reports ----------------------------------------------------------------
 
 

@@ -8,6 +8,7 @@ from martkit.operators.load import upsert
 from martkit.plans.queries.registry import query
 from martkit.sources.documents import land_documents
 from martkit.sources.files import read_csv_with_rejects, write_partitioned
+from martkit.sources.views import register_views
 
 
 @query(
@@ -75,3 +76,22 @@ def partitioned_sink(t):
     return stored.groupBy("month").agg(
         F.count("*").alias("orders"), F.sum("o_totalprice").alias("total")
     )
+
+
+_VIEW_SQL = """WITH spent AS (SELECT o_custkey, count(*) AS orders, max(o_orderdate) AS last_order
+        FROM {orders} GROUP BY o_custkey)
+    SELECT c_mktsegment, count(*) AS customers, sum(orders) AS orders,
+        CAST(max(last_order) AS DATE) AS last_day
+    FROM {customer} JOIN spent ON o_custkey = c_custkey GROUP BY c_mktsegment"""
+
+
+@query(
+    "sql_view",
+    _VIEW_SQL.format(orders="orders", customer="customer").replace(
+        "sum(orders)", "CAST(sum(orders) AS BIGINT)"
+    ),
+)
+def sql_view(t):
+    """SQL text over registered views."""
+    register_views({"v_orders": t("orders"), "v_customer": t("customer")})
+    return t.spark.sql(_VIEW_SQL.format(orders="v_orders", customer="v_customer"))
