@@ -21,7 +21,6 @@ from martkit.plans import standins as s
 from martkit.plans.marts import dealership, inventory, venues
 from martkit.plans.queries.oracle import with_
 from martkit.plans.queries.registry import query
-from martkit.sources.files import refresh_table
 
 _SPLIT = "1999-01-01"
 
@@ -165,17 +164,19 @@ def changed(t):
     WHERE rn = 1""",
 )
 def dim_customers(t):
-    log = s.user_order_log(t)
+    log = t.stored(s.user_order_log(t), "order-log")
     cols = ["first_name", "last_name", "city_id"]
     early = log.where(F.col("date_time") < F.lit(_SPLIT).cast("timestamp_ntz"))
     empty = log.select("customer_id", *cols).limit(0)
-    first = dim_increment(empty, early, "customer_id", cols, ["date_time", "city_id"])
+    first = t.stored(
+        dim_increment(empty, early, "customer_id", cols, ["date_time", "city_id"]), "d-customer"
+    )
     return dim_increment(first, log, "customer_id", cols, ["date_time", "city_id"])
 
 
 def _raw_cars(t):
     """The raw table as stored: every dimension scans only its own columns."""
-    return refresh_table(s.raw_car_sales(t), t.scratch("raw-car-sales"))
+    return t.stored(s.raw_car_sales(t), "raw-car-sales")
 
 
 @query(

@@ -66,11 +66,11 @@ def courier_ledger(t):
 def courier_pipeline(t):
     """Landed documents, typed deliveries, ledger, and an upsert of the years from 1999 on."""
     rows = s.deliveries(t).withColumn("update_ts", F.lit("2024-01-01").cast("timestamp"))
-    landed = refresh_table(land_documents(rows, "delivery_id", "update_ts"), t.scratch("deliveries"))
+    landed = t.stored(land_documents(rows, "delivery_id", "update_ts"), "deliveries")
     computed = ledger.courier_ledger(
         s.courier_orders(t), ledger.shred_deliveries(landed), s.product_sales(t), s.couriers(t)
     )
-    stored = refresh_table(computed, t.scratch("ledger"))
+    stored = t.stored(computed, "ledger")
     stale = stored.withColumn(
         "courier_name",
         F.when(F.col("settlement_year") >= 1999, F.lit("stale")).otherwise(F.col("courier_name")),
@@ -107,22 +107,21 @@ _REPORT = with_(
 
 @query("customer_report", _REPORT)
 def report(t):
-    return customer_report.customer_report(
-        s.craft_fact(t), s.craft_customers(t), s.craft_products(t)
-    )
+    fact = t.stored(s.craft_fact(t), "craft-fact")
+    return customer_report.customer_report(fact, s.craft_customers(t), s.craft_products(t))
 
 
 @query("customer_report_incremental", _REPORT)
 def report_incremental(t):
     """The mart as of a watermark, brought up to date; must equal the full report."""
-    fact, customers, products = s.craft_fact(t), s.craft_customers(t), s.craft_products(t)
+    fact = t.stored(s.craft_fact(t), "craft-fact")
+    customers, products = s.craft_customers(t), s.craft_products(t)
     since = F.lit("2000-06-01").cast("timestamp_ntz")
-    path = t.scratch("customer-report")
-    before = refresh_table(
+    before = t.stored(
         customer_report.customer_report(
             fact.where(F.col("load_dttm") <= since), customers, products
         ),
-        path,
+        "customer-report",
     )
     return customer_report.customer_report_incremental(
         before, fact, customers, products, s.craft_craftsmen(t), since
@@ -166,9 +165,9 @@ def retention(t):
 )
 def sales_fact(t):
     """First load of all days, then one business day loaded again."""
-    staged = retail.stage_order_log(s.user_order_log(t), _STAGED_ORDER)
+    staged = t.stored(retail.stage_order_log(s.user_order_log(t), _STAGED_ORDER), "order-log")
     dates = s.calendar(t.spark)
-    loaded = retail.sales_fact(staged, dates)
+    loaded = t.stored(retail.sales_fact(staged, dates), "f-sales")
     again = retail.sales_fact(staged, dates, date(1998, 7, 1))
     return replace_slice(loaded, again, "date_id").drop("date_actual")
 
@@ -228,7 +227,7 @@ def metrics(t):
 def metrics_daily(t):
     """A stored mart after one business day was run again."""
     moved, rates = s.transactions(t), s.currency_rates(t)
-    stored = refresh_table(currency.global_metrics(moved, rates, 0), t.scratch("global-metrics"))
+    stored = t.stored(currency.global_metrics(moved, rates, 0), "global-metrics")
     day = currency.global_metrics(moved, rates, 0, date(1998, 7, 1))
     return replace_slice(stored, day, "date_update")
 
@@ -272,14 +271,14 @@ _STAGED = """SELECT DISTINCT f.* EXCLUDE (load_dttm, product_id, craftsman_id, c
 )
 def warehouse(t):
     """Four sources conformed and loaded in two batches, then the report."""
-    staged = refresh_table(conform_union(s.craft_sources(t)), t.scratch("staged"))
+    staged = t.stored(conform_union(s.craft_sources(t)), "staged")
     newer = F.col("order_created_date") >= F.lit("1998-01-01").cast("date")
     first = craft_warehouse.load_warehouse(
         craft_warehouse.empty_tables(staged), staged.where(~newer), datetime(2024, 1, 1)
     )
-    stored = {n: refresh_table(df, t.scratch(f"dwh-{n}")) for n, df in first.items()}
+    stored = {n: t.stored(df, f"dwh-{n}") for n, df in first.items()}
     second = craft_warehouse.load_warehouse(stored, staged, datetime(2024, 1, 2))
-    final = {n: refresh_table(df, t.scratch(f"dwh-{n}")) for n, df in second.items()}
+    final = {n: t.stored(df, f"dwh-{n}") for n, df in second.items()}
     return craft_warehouse.report(final).select(
         "customer_id", "customer_name", "report_period", "count_order", "customer_money",
         "top_product_category", "median_time_order_completed", "count_order_done",

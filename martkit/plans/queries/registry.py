@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martkit.session import scratch_path
+from martkit.sources.files import refresh_table
 from martkit.sources.tables import table
 
 
@@ -26,6 +27,10 @@ class Tables:
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)
 
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` as a stored table, where a job reads its input more than once."""
+        return refresh_table(df, self.scratch(name))
+
 
 @dataclass(frozen=True)
 class Query:
