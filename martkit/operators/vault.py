@@ -69,10 +69,10 @@ def load_link(
 
     ``hub_keys`` maps hub key column to the staged business key.
     """
-    pairs = stage.dropna(subset=list(hub_keys.values())).select(
-        *[md5_key(bk).alias(h) for h, bk in hub_keys.items()]
-    )
-    rows = pairs.distinct().select(
+    bks = list(hub_keys.values())
+    # distinct on the short business keys, hashes afterwards
+    pairs = stage.dropna(subset=bks).select(*bks).distinct()
+    rows = pairs.select(*[md5_key(bk).alias(h) for h, bk in hub_keys.items()]).select(
         md5_key(*hub_keys).alias(hk),
         *hub_keys,
         _stamp(load_ts).alias("load_dt"),
@@ -81,6 +81,11 @@ def load_link(
     return _append(current, rows, [hk], only_new)
 
 
+def hub_or_link_key(bks: Sequence[str]) -> Column:
+    """Hash key of a hub (one business key) or of a link between hubs (several)."""
+    return md5_key(bks[0]) if len(bks) == 1 else md5_key(*[md5_key(b) for b in bks])
+
+
 def load_satellite(
     current: DataFrame | None,
     stage: DataFrame,
@@ -90,19 +95,29 @@ def load_satellite(
     src: str,
     mode: str = "current",
     order_by: Sequence[str] | None = None,
+    bks: Sequence[str] | None = None,
 ) -> DataFrame:
     """Attributes of a hub or link key with their ``hashdiff``.
 
+    The stage carries ``hk``, or the business keys ``bks`` it is made of; these
+    are then hashed after the batch is reduced.
+
     ``current`` keeps one row per key, replaced whenever the key arrives.
     ``history`` adds a row for each change: a staged row counts when its
     hashdiff differs from the row before it (in ``order_by``) or, for the
     first of a batch, from the newest row kept.
     """
+    if bks is not None:
+        stage = stage.dropna(subset=list(bks))
+        key = hub_or_link_key(bks)
     if mode == "current":
         order = list(order_by) if order_by else list(attrs)
+        keys = [hk] if bks is None else list(bks)
         batch = latest_per_key(
-            stage.select(hk, *attrs, *[c for c in order if c not in (hk, *attrs)]), [hk], order
+            stage.select(*keys, *attrs, *[c for c in order if c not in (*keys, *attrs)]), keys, order
         )
+        if bks is not None:
+            batch = batch.withColumn(hk, key)
         rows = batch.select(
             hk,
             *attrs,
@@ -116,6 +131,8 @@ def load_satellite(
     if not order_by:
         raise ValueError("history needs order_by, its first column the time of the change")
     at = order_by[0]
+    if bks is not None:
+        stage = stage.withColumn(hk, key)
     hashed = stage.select(
         hk, *attrs, *[c for c in order_by if c not in (hk, *attrs)]
     ).withColumn("hashdiff", md5_key(hk, *attrs))
@@ -276,14 +293,7 @@ def load_order_vault(
     for name, (source, hk, keys) in LINKS.items():
         out[name] = load_link(have(name), stage[source], keys, hk, load_ts, src, only_new)
     for name, (source, hk, bks, attrs) in SATELLITES.items():
-        rows = stage[source].dropna(subset=bks)
-        key = md5_key(bks[0]) if len(bks) == 1 else md5_key(*[md5_key(b) for b in bks])
         out[name] = load_satellite(
-            None if only_new else have(name),
-            rows.withColumn(hk, key),
-            hk,
-            attrs,
-            load_ts,
-            src,
+            None if only_new else have(name), stage[source], hk, attrs, load_ts, src, bks=bks
         )
     return out
