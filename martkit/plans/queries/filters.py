@@ -289,7 +289,7 @@ def signed(t):
 
 @query(
     "order_nulls",
-    """SELECT c_custkey, coalesce(balance, -1) AS balance, place FROM (
+    """SELECT c_custkey, coalesce(balance, -1) AS balance, CAST(place AS INTEGER) AS place FROM (
         SELECT *, row_number() OVER (ORDER BY balance DESC NULLS LAST, c_custkey) AS place FROM (
             SELECT c_custkey, CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE c_acctbal END AS balance
             FROM customer)) WHERE place <= 100""",

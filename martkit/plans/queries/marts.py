@@ -193,7 +193,7 @@ def conversion(t):
 
 CAMPAIGN_TRIGGERS = (
     with_("campaigns", "subscribers")
-    + """SELECT c.*, client_id, 1705276800 AS trigger_datetime_created
+    + """SELECT c.*, client_id, CAST(1705276800 AS BIGINT) AS trigger_datetime_created
     FROM campaigns c JOIN subscribers s ON s.restaurant_id = c.restaurant_id
     WHERE adv_campaign_datetime_start <= 1705276800 AND 1705276800 < adv_campaign_datetime_end"""
 )

@@ -49,6 +49,10 @@ def compare(spark, con, name: str, sf_dir: str) -> str | None:
     from __spark_entry__ import oracle_sql, queries
 
     df = queries()[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "NestedLoopJoin"):
+        if bad in plan:
+            return f"the plan holds a {bad}"
     got_cols, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     sql = oracle_sql().get(name)
     if sql is None:
