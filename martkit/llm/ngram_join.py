@@ -19,6 +19,7 @@ pairs that cannot link.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -92,11 +93,22 @@ def _shingle_rows(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _screened(sets: DataFrame, percent: int) -> DataFrame:
-    """Class heads (cls, head) that may have a partner, by the screen order."""
-    rows = sets.where("sample is not null").select("sid", F.explode("sample").alias("token"))
-    ends = rows.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
-    shared = stored(ends.where("lo <> hi").select("token"), "shared")  # plain sides let Spark split hot keys
-    hits = rows.distinct().join(shared, "token", "left_semi").groupBy("sid").agg(F.count("*").alias("hits"))
+    """Class heads (cls, head) that may have a partner, by the screen order.
+
+    A shingle counts as shared only between sets of near size, which chance
+    hits on common words rarely are: sizes fall into bands as wide as the size
+    ratio of partners, and two staggered pairings of bands put partners together.
+    """
+    width = math.log(100 / percent) * 1.001
+    band = F.floor(F.log(F.col("n_shingles").cast("double")) / width).cast("bigint")
+    told = sets.where("sample is not null").select("sid", band.alias("band"), F.explode("sample").alias("token"))
+    keys = F.array(
+        F.xxhash64("token", F.floor(F.col("band") / 2), F.lit(0)), F.xxhash64("token", F.floor((F.col("band") + 1) / 2), F.lit(1))
+    )
+    rows = told.select("sid", "token", F.explode(keys).alias("key"))
+    ends = rows.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
+    shared = stored(ends.where("lo <> hi").select("key"), "shared")  # plain sides let Spark split hot keys
+    hits = rows.join(shared, "key", "left_semi").select("sid", "token").distinct().groupBy("sid").agg(F.count("*").alias("hits"))
     heads = (
         sets.where("sample is not null")
         .groupBy("cls")
@@ -172,26 +184,27 @@ def class_links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> D
         "label", F.coalesce("component", "cls")
     )
     mixed = named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    named = stored(named.join(mixed.select("token"), "token", "left_semi"), "open_postings")
-    side = lambda p: named.select(
-        "token", F.col("cls").alias(p), F.col("n").alias(f"{p}n"), F.col("alone").alias(f"{p}alone"), F.col("label").alias(f"{p}label")
+    named = stored(
+        named.join(stored(mixed.select("token"), "mixed"), "token", "left_semi").select("cls", "n", "alone", "label", "token"), "named"
     )
-    wanted = (F.col("a") < F.col("b")) & (F.col("alabel") != F.col("blabel")) & _may_link("a", "b", percent)
-    pairs = split_hot_join(side("a"), side("b"), ["token"], wanted, "a", "b").select("a", "b").distinct()
-    pairs = stored(pairs, "pairs")
-    # A third order, unrelated to counts: both prefixes under it must meet as well.
+    # Both prefixes go along: the pair is taken at its first common shingle only, and
+    # must meet under a third order, unrelated to counts, as well.
+    first_order = named.groupBy("cls").agg(F.sort_array(F.collect_list("token")).alias("prefix"))
     by_hash = F.array_sort(F.transform("shingles", lambda t: F.struct(F.xxhash64(t).alias("h"), t.alias("t"))))
-    third = tokens.withColumn("n", F.size("shingles")).select(
-        "cls", F.transform(F.slice(by_hash, 1, length), lambda t: t["t"]).alias("prefix")
+    third = tokens.withColumn("n", F.size("shingles")).join(named.select("cls").distinct(), "cls", "left_semi")
+    third = third.select("cls", F.transform(F.slice(by_hash, 1, length), lambda t: t["t"]).alias("third"))
+    open_ = stored(named.join(first_order.join(third, "cls"), "cls"), "open_postings")
+    side = lambda p: open_.select(
+        "token", F.col("cls").alias(p), *[F.col(c).alias(f"{p}{c}") for c in ("n", "alone", "label", "prefix", "third")]
     )
-    ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    third = third.join(ends, "cls", "left_semi")
-    met = (
-        pairs.join(third.select(F.col("cls").alias("a"), F.col("prefix").alias("pa")), "a")
-        .join(third.select(F.col("cls").alias("b"), F.col("prefix").alias("pb")), "b")
-        .where(F.arrays_overlap("pa", "pb"))
-        .select("a", "b")
+    wanted = (
+        (F.col("a") < F.col("b"))
+        & (F.col("alabel") != F.col("blabel"))
+        & _may_link("a", "b", percent)
+        & (F.array_min(F.array_intersect("aprefix", "bprefix")) == F.col("token"))
+        & F.arrays_overlap("athird", "bthird")
     )
+    met = stored(split_hot_join(side("a"), side("b"), ["token"], wanted, "a", "b").select("a", "b"), "pairs")
     more = stored(_verified(met, tokens, percent), "links")
     return connected_components(links.unionAll(more))
 
