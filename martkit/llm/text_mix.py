@@ -90,7 +90,7 @@ def mix_sources(
     percent: int = 150,
     max_repeats: int = 2,
     block_words: int = 16,
-    shard_words: int = 4_000_000,
+    shard_words: int = 1_000_000,
     seed: str = "mix",
     keep: Sequence[str] = (),
 ) -> DataFrame:
@@ -178,7 +178,7 @@ dealt AS (
   FROM rows_ d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
   LEFT JOIN quota q ON d.source IS NOT DISTINCT FROM q.source),
 sharded AS (
-  SELECT *, pick % CAST(greatest(1, ceil(source_size / 4000000.0)) AS BIGINT) AS shard FROM dealt),
+  SELECT *, pick % CAST(greatest(1, ceil(source_size / 1000000.0)) AS BIGINT) AS shard FROM dealt),
 shards AS (
   SELECT source, shard, blocks, CAST(sum(size) AS BIGINT) AS shard_size,
          greatest(1, CAST(round(sum(size) / 16.0) AS BIGINT)) AS cut
