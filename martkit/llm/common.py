@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from martkit.session import scratch_path
 
@@ -37,8 +36,12 @@ def release(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def either(*conditions: Column) -> Column:
-    out = F.lit(False)
-    for c in conditions:
-        out = out | c
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names`` with underscores in front until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
     return out

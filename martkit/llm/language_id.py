@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martkit.llm.common import unused
 from martkit.llm.tokens import lowered
 
 WINDOW = 64  # bytes the network reads at a stretch
@@ -239,7 +240,8 @@ def identify(docs: DataFrame, net: Network | None, batch_bytes: int = 4_000_000)
     """
     docs = docs.drop("lang_pred", "score", "agreement")
     keep = [c for c in docs.columns if c != "text"]
-    letters = docs.withColumn("_letters", F.coalesce(F.rlike("text", F.lit("\\p{L}")), F.lit(False)))
+    (has_letters,) = unused(docs, "letters")
+    letters = docs.withColumn(has_letters, F.coalesce(F.rlike("text", F.lit("\\p{L}")), F.lit(False)))
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double").add("agreement", "double")
 
     def answer(texts: list[bytes | None]) -> list[tuple[str, float, float]]:
@@ -258,7 +260,7 @@ def identify(docs: DataFrame, net: Network | None, batch_bytes: int = 4_000_000)
         for batch in batches:
             texts = [
                 t.as_py().encode("utf-8") if has.as_py() else None
-                for t, has in zip(batch.column("text"), batch.column("_letters"))
+                for t, has in zip(batch.column("text"), batch.column(has_letters))
             ]
             at = 0
             while at < len(texts):  # long texts make short sub-batches
@@ -291,6 +293,7 @@ def identify_languages(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
     """Rows of ``docs`` whose language is known: not ``und``, and with a score of ``min_score`` or more."""
     net = learn(docs)
-    marked = docs.withColumn("_text", F.col("text"))
-    told = identify(marked, net).where((F.col("lang_pred") != "und") & (F.col("score") >= min_score))
-    return told.select(*[F.col("_text").alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    # As one struct, the columns cannot clash with those of the answer.
+    rest = docs.select("text", F.struct(*docs.columns).alias("row"))
+    told = identify(rest, net).where((F.col("lang_pred") != "und") & (F.col("score") >= min_score))
+    return told.select("row.*")

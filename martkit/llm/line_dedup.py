@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import stored
+from martkit.llm.common import stored, unused
 
 LINES = 3
 
@@ -19,8 +19,9 @@ LINES = 3
 def _later_windows(docs: DataFrame) -> DataFrame:
     """(doc_id, starts): where later occurrences of repeated windows begin, per document."""
     lines = docs.where("text is not null").select("doc_id", F.split("text", "\n").alias("lines"))
-    lines = lines.where(F.size("lines") >= LINES)
-    at = lines.select("doc_id", "lines", F.explode(F.sequence(F.lit(1), F.size("lines") - (LINES - 1))).alias("pos"))
+    # As a condition on the sequence, not a filter, which Spark would move below the split and run it twice.
+    places = F.when(F.size("lines") >= LINES, F.sequence(F.lit(1), F.size("lines") - (LINES - 1)))
+    at = lines.select("doc_id", "lines", F.explode(places).alias("pos"))
     run = [F.expr(f"element_at(lines, pos + {k})") for k in range(LINES)]
     window = F.concat_ws("\n", *run)
     windows = at.where(F.length(F.trim(F.translate(window, "\n\r\t", ""))) > 0).select(
@@ -54,21 +55,21 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     columns named like the two new ones are replaced.
     """
     docs = docs.drop("lines_in", "lines_removed")
-    marks = _later_windows(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_id"), F.col("starts").alias("_starts"))
-    joined = docs.join(marks, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    lines = F.split("text", "\n")
-    covered = F.array_distinct(
-        F.flatten(F.transform("_starts", lambda p: F.sequence(p, p + (LINES - 1))))
-    )
-    joined = joined.withColumn("_lines", lines).withColumn("_gone", F.when(F.col("_starts").isNotNull(), covered))
-    kept = F.array_except(F.sequence(F.lit(1), F.size("_lines")), F.col("_gone"))
-    text = F.array_join(F.transform(kept, lambda p: F.element_at("_lines", p)), "\n")
-    hit = F.col("_gone").isNotNull() & F.col("text").isNotNull()
-    removed = F.when(hit, F.size("_lines") - F.size(kept)).otherwise(0)
-    out = joined.withColumn("lines_in", F.when(F.col("text").isNotNull(), F.size("_lines")).otherwise(0)).withColumn(
-        "lines_removed", removed
-    )
-    return out.withColumn("text", F.when(hit, text).otherwise(F.col("text"))).drop("_id", "_starts", "_lines", "_gone")
+    id_, starts, cut, gone = unused(docs, "of_id", "starts", "cut_lines", "gone")
+    marks = _later_windows(docs.select("doc_id", "text")).select(F.col("doc_id").alias(id_), F.col("starts").alias(starts))
+    joined = docs.join(marks, F.col("doc_id").eqNullSafe(F.col(id_)), "left")
+    covered = F.array_distinct(F.flatten(F.transform(starts, lambda p: F.sequence(p, p + (LINES - 1)))))
+    joined = joined.withColumns({cut: F.split("text", "\n"), gone: F.when(F.col(starts).isNotNull(), covered)})
+    kept = F.array_except(F.sequence(F.lit(1), F.size(cut)), F.col(gone))
+    text = F.array_join(F.transform(kept, lambda p: F.element_at(cut, p)), "\n")
+    known = F.col("text").isNotNull()
+    hit = F.col(gone).isNotNull() & known
+    counts = {
+        "lines_in": F.when(known, F.size(cut)).otherwise(0),
+        "lines_removed": F.when(hit, F.size(cut) - F.size(kept)).otherwise(0),
+    }
+    out = joined.withColumns(counts).withColumn("text", F.when(hit, text).otherwise(F.col("text")))
+    return out.drop(id_, starts, cut, gone)
 
 
 SQL = """

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import release, stored
+from martkit.llm.common import release, stored, unused
 from martkit.llm.components import connected_components
 from martkit.llm.tokens import shingle_set
 from martkit.operators.joins import split_hot_join
@@ -243,10 +243,11 @@ def keep_one_of_each_group(docs: DataFrame, words: int = 5, percent: int = 80) -
     name = F.coalesce(
         F.col("doc_id").cast("bigint"), F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 2)
     )
-    named = docs.withColumns({"_id": name, "_mark": F.xxhash64("text")})
-    groups = ngram_join(named.select(F.col("_id").alias("doc_id"), "text"), words, percent)
-    heads = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return named.join(stored(heads, "kept"), "_id", "left_semi").dropDuplicates(["_id", "_mark"]).drop("_id", "_mark")
+    row, mark = unused(docs, "row_id", "text_mark")
+    named = docs.withColumns({row: name, mark: F.xxhash64("text")})
+    groups = ngram_join(named.select(F.col(row).alias("doc_id"), "text"), words, percent)
+    heads = groups.where("doc_id = component_id").select(F.col("doc_id").alias(row)).distinct()
+    return named.join(stored(heads, "kept"), row, "left_semi").dropDuplicates([row, mark]).drop(row, mark)
 
 
 SQL = r"""

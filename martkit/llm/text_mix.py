@@ -63,7 +63,7 @@ def apportion(parties: DataFrame, group: Sequence[str], share: str, seats: str,
     work grows with the parties and not with the seats. Ties go by ``tie``.
     """
     whole = Window.partitionBy(*group)
-    part = F.col(share) / F.sum(share).over(whole)
+    part = F.try_divide(F.col(share), F.sum(share).over(whole))
     band = F.ceil(part * F.count("*").over(whole) / 2) + 2
     known = (
         parties.withColumn("_share", F.col(share).cast("double"))
