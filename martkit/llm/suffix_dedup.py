@@ -5,9 +5,9 @@ select, so equal passages keep equal positions. A passage of ``min_words`` words
 has such a position within its first ``WINDOW`` words, followed by at least
 ``min_words - WINDOW + 1`` shared ones: suffixes whose next words occur nowhere
 else leave early. The rest are sorted with their context; neighbours are
-compared and matches extended left and right. Contexts of ``WINDOW`` words to
-the left and ``min_words`` more or less to the right are enough, because a
-longer match holds further positions whose matches overlap and merge.
+compared and matches extended left and right. Contexts of ``WINDOW`` words on
+either side of the shared ones are enough, because a longer match holds further
+positions whose matches overlap and merge.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from martkit.llm.common import release, stored
 from martkit.llm.ordered import adjacent
-from martkit.llm.tokens import mix, window_hashes, word_hashes
+from martkit.llm.tokens import window_hashes, word_hashes
 
 GRAM = 8
 WINDOW = 24
@@ -63,9 +63,10 @@ def _anchors(rows: DataFrame, min_words: int) -> DataFrame:
 def _contexts(marked: DataFrame, min_words: int) -> DataFrame:
     """(doc_id, row, key, pos, behind, ahead) of the given positions; words as 32-bit hashes.
 
-    ``behind`` runs backwards, so that its common prefix is the match to the left.
+    ``behind`` runs backwards, so that its common prefix is the match to the left;
+    ``ahead`` starts after the words of the key, which equal keys share.
     """
-    start, after = min_words - WINDOW + 1, min_words + 1
+    start = min_words - WINDOW + 1
 
     def read(batches):
         for batch in batches:
@@ -76,7 +77,7 @@ def _contexts(marked: DataFrame, min_words: int) -> DataFrame:
                 short = (words >> np.uint64(32)).astype(">u4")
                 for p in places:
                     behind = short[max(0, p - WINDOW + 1) : p][::-1]
-                    out.append((i, h, int(keys[p].astype(np.int64)), p, behind.tobytes(), short[p : p + after].tobytes()))
+                    out.append((i, h, int(keys[p].astype(np.int64)), p, behind.tobytes(), short[p + start : p + start + WINDOW].tobytes()))
             if out:
                 cols = list(zip(*out))
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
@@ -94,39 +95,50 @@ def _common(a: bytes, b: bytes) -> int:
     return int(differ.argmax())
 
 
-def _neighbour_matches(contexts: DataFrame, by: tuple[str, str]) -> DataFrame:
-    """(doc_id, row, pos, left, right) of each suffix with both neighbours of its key."""
+def _neighbour_matches(contexts: DataFrame, by: tuple[str, str], shared: int) -> DataFrame:
+    """(doc_id, row, key, pos, left, right) of each suffix with both neighbours of its key."""
 
     def pair(a, b):
         if a[2] == b[2]:
-            left, right = _common(a[4], b[4]), _common(a[5], b[5])
-            yield a[0], a[1], a[3], left, right
-            yield b[0], b[1], b[3], left, right
+            left, right = _common(a[4], b[4]), shared + _common(a[5], b[5])
+            yield a[0], a[1], a[2], a[3], left, right
+            yield b[0], b[1], b[2], b[3], left, right
 
     order = [F.col(c) for c in ("key", *by, "doc_id", "row", "pos")]
-    schema = "doc_id bigint, row bigint, pos int, left int, right int"
+    schema = "doc_id bigint, row bigint, key bigint, pos int, left int, right int"
     return adjacent(contexts, order, lambda r: r, pair, schema)
 
 
-def _windows(contexts: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, row, start, key): all passages of ``min_words`` words around suffixes, within (most_left, most_right)."""
+def _windows(members: DataFrame, rows: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, row, start, key, wanted): passages of ``min_words`` words around the given suffixes.
+
+    All those within the longest matches to the left and right; ``wanted`` are
+    the ones around an open suffix that no match with a neighbour covers.
+    """
 
     def read(batches):
         for batch in batches:
             out = []
-            for i, h, p, behind, ahead, left, right in zip(
-                *(batch.column(c).to_pylist() for c in ("doc_id", "row", "pos", "behind", "ahead", "most_left", "most_right"))
-            ):
-                near = np.concatenate([np.frombuffer(behind, ">u4")[:left][::-1], np.frombuffer(ahead, ">u4")[:right]])
-                if len(near) >= min_words:
-                    keys = window_hashes(mix(near.astype(np.uint64)), min_words).view(np.int64)
-                    out += [(i, h, p - left + k, int(key)) for k, key in enumerate(keys)]
+            for i, h, text, found in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text", "suffixes"))):
+                keys = window_hashes(word_hashes(text.encode("utf-8")), min_words).view(np.int64)
+                starts: dict[int, bool] = {}
+                for x in found:
+                    p = x["pos"]
+                    known = [(p - m["left"], p + m["right"] - min_words) for m in x["spans"]]
+                    for k in range(p - x["most_left"], p + x["most_right"] - min_words + 1):
+                        wanted = x["open"] and not any(a <= k <= b for a, b in known)
+                        starts[k] = starts.get(k, False) or wanted
+                out += [(i, h, k, int(keys[k]), w) for k, w in starts.items()]
             if out:
                 cols = list(zip(*out))
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "row", "start", "key"])
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()]
+                names = ["doc_id", "row", "start", "key", "wanted"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
 
-    return contexts.mapInArrow(read, "doc_id bigint, row bigint, start int, key bigint")
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row") == F.col("of_row"))
+    return rows.join(members, same).select("doc_id", "row", "text", "suffixes").mapInArrow(
+        read, "doc_id bigint, row bigint, start int, key bigint, wanted boolean"
+    )
 
 
 def repeated_spans(docs: DataFrame, min_words: int = 50) -> DataFrame:
@@ -135,48 +147,64 @@ def repeated_spans(docs: DataFrame, min_words: int = 50) -> DataFrame:
     A passage of ``min_words`` words or more counts when it occurs at two places,
     in two documents or one. Words are runs without white space, A-Z as a-z;
     ``end_word`` is exclusive. Null, empty and shorter texts have no span.
-    Identical rows count as one document; rows that share only the doc_id are
-    documents of their own. Other columns are ignored; an empty table gives no rows.
+    Every row is a document of its own, so repeated rows are copies. Other columns
+    are ignored; an empty table gives no rows.
     """
     if min_words < WINDOW + GRAM:
         raise ValueError(f"min_words must be {WINDOW + GRAM} or more")
     rows = docs.where("text is not null").select(
         F.col("doc_id").cast("bigint"), F.xxhash64(F.col("text").cast("string")).alias("row"), F.col("text").cast("string")
     )
-    anchors = stored(_anchors(rows, min_words).distinct(), "anchors")
+    anchors = stored(_anchors(rows, min_words), "anchors")
     repeated = stored(anchors.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "keys")
     places = (
         anchors.join(repeated, "key", "left_semi")
         .groupBy(F.col("doc_id").alias("of"), F.col("row").alias("of_row"))
-        .agg(F.sort_array(F.collect_list("pos")).alias("places"))
+        .agg(F.sort_array(F.collect_set("pos")).alias("places"))
     )
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row") == F.col("of_row"))
     marked = rows.join(places, same).select("doc_id", "row", "text", "places")
-    contexts = stored(_contexts(marked, min_words).dropDuplicates(["doc_id", "row", "pos"]), "contexts")
+    contexts = stored(_contexts(marked, min_words), "contexts")
     release(anchors, repeated)
 
     # Neighbours by what follows hold the longest match to the right, by what precedes to the left.
-    matches = stored(
-        _neighbour_matches(contexts, ("ahead", "behind")).unionAll(_neighbour_matches(contexts, ("behind", "ahead"))), "matches"
-    )
-    long = matches.where(F.col("left") + F.col("right") >= min_words).select(
-        "doc_id", "row", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("stop")
+    shared = min_words - WINDOW + 1
+    matches = _neighbour_matches(contexts, ("ahead", "behind"), shared).unionAll(
+        _neighbour_matches(contexts, ("behind", "ahead"), shared)
     )
-    # Where no single neighbour has both, other partners may match in between: look at every passage there.
-    open_ = (
-        matches.groupBy("doc_id", "row", "pos")
-        .agg(
+    release(contexts)
+    both = F.col("left") + F.col("right")
+    found = stored(
+        matches.groupBy("doc_id", "row", "pos").agg(
+            F.first("key").alias("key"),
             F.max("left").alias("most_left"),
             F.max("right").alias("most_right"),
-            F.max(F.col("left") + F.col("right")).alias("most"),
-        )
-        .where((F.col("most_left") + F.col("most_right") > F.col("most")) & (F.col("most_left") + F.col("most_right") >= min_words))
-        .select(F.col("doc_id").alias("of"), F.col("row").alias("of_row"), F.col("pos").alias("of_pos"), "most_left", "most_right")
+            F.max(both).alias("most"),
+            F.collect_set(F.when(both >= min_words, F.struct("left", "right"))).alias("spans"),
+        ),
+        "matches",
+    )
+    long = found.select("doc_id", "row", "pos", F.explode("spans").alias("s")).select(
+        "doc_id", "row", (F.col("pos") - F.col("s.left")).alias("start"), (F.col("pos") + F.col("s.right")).alias("stop")
+    )
+    # Where no single neighbour has both, other partners may match in between: compare every
+    # passage around such an open suffix with those around all suffixes of its key.
+    reach = F.col("most_left") + F.col("most_right")
+    found = found.withColumn("open", (reach > F.col("most")) & (reach >= min_words))
+    keys = stored(found.where("open").select("key").distinct(), "open_keys")
+    members = (
+        found.join(keys, "key", "left_semi")
+        .groupBy(F.col("doc_id").alias("of"), F.col("row").alias("of_row"))
+        .agg(F.collect_list(F.struct("pos", "most_left", "most_right", "spans", "open")).alias("suffixes"))
+    )
+    windows = stored(_windows(members, rows, min_words), "passages")
+    place = F.struct("doc_id", "row", "start")
+    twice = (
+        windows.groupBy("key")
+        .agg(F.bool_or("wanted").alias("wanted"), F.min(place).alias("lo"), F.max(place).alias("hi"))
+        .where(F.col("wanted") & ~F.col("lo").eqNullSafe(F.col("hi")))
     )
-    here = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row") == F.col("of_row")) & (F.col("pos") == F.col("of_pos"))
-    windows = stored(_windows(contexts.join(open_, here), min_words).distinct(), "passages")
-    twice = stored(windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "twice")
-    more = windows.join(twice, "key", "left_semi").select(
+    more = windows.join(stored(twice.select("key"), "twice"), "key", "left_semi").select(
         "doc_id", "row", "start", (F.col("start") + min_words).alias("stop")
     )
     return _merged(long.unionAll(more))

@@ -152,6 +152,8 @@ def test_suffix_dedup_odd(odd):
     ids = {r.doc_id: (r.start_word, r.end_word) for r in suffix_dedup.repeated_spans(odd).collect()}
     assert ids[7] == ids[8] == (1, 61)
     assert ids[6] == (0, 30_000) and 9 not in ids and 2 not in ids
+    twice = odd.where("doc_id = 5").limit(1)
+    assert {(r.start_word, r.end_word) for r in suffix_dedup.repeated_spans(twice.unionAll(twice)).collect()} == {(0, 30_000)}
 
 
 def test_line_dedup(docs, rows):
