@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from martkit.operators.joins import join_same
 from martkit.operators.ordinals import assign_ids
 from martkit.operators.select import keyset_page, latest_per_key
+from martkit.session import settle
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None) -> DataFrame:
@@ -173,12 +174,14 @@ def load_next_batch(
 ) -> tuple[DataFrame, DataFrame]:
     """Next page above the workflow's high-water mark, and the advanced state.
 
-    ``state`` is (workflow, last_id), one row per workflow. Publish both
-    results together so that progress and data never part.
+    ``state`` is (workflow, last_id), one row per workflow. The page is stored
+    first and its greatest id taken from the stored rows, so rows that reach a
+    live source meanwhile are left to the next page. Publish both results
+    together so that progress and data never part.
     """
     row = state.where(F.col("workflow") == workflow).agg(F.max("last_id")).first()
     last = row[0] if row[0] is not None else -1
-    batch = keyset_page(source, id_col, last, limit)
+    batch = settle(keyset_page(source, id_col, last, limit))
     reached = batch.agg(F.max(id_col).alias("last_id")).select(
         F.lit(workflow).alias("workflow"),
         F.coalesce(F.col("last_id"), F.lit(last)).cast("bigint").alias("last_id"),

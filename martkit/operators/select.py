@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,11 +12,15 @@ from martkit.operators.joins import join_same
 
 
 def slice_by_date(df: DataFrame, ts_col: str, day: date) -> DataFrame:
-    """Rows of one business day, as a half-open range the scan can push down."""
-    start = datetime(day.year, day.month, day.day)
+    """Rows of one business day of the session zone, as a half-open range the scan can push down.
+
+    The bounds are text cast by Spark: a Python datetime would be read in the
+    zone of the driver process.
+    """
     kind = df.schema[ts_col].dataType
-    low = F.lit(start).cast(kind)
-    high = F.lit(start + timedelta(days=1)).cast(kind)
+    start = date(day.year, day.month, day.day)
+    low = F.lit(start.isoformat()).cast(kind)
+    high = F.lit((start + timedelta(days=1)).isoformat()).cast(kind)
     return df.where((F.col(ts_col) >= low) & (F.col(ts_col) < high))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkit.functions.dates import month_key
-from martkit.operators.load import changed_keys, replace_by_key
+from martkit.operators.load import changed_keys
 from martkit.operators.select import best_per_group
 
 # The platform's part of the money and the counted order states.
@@ -96,7 +96,8 @@ def customer_report_incremental(
         since,
     )
     fresh = customer_report(fact.join(touched, "customer_id", "left_semi"), customers, products)
-    return replace_by_key(mart, fresh, ["customer_id", "report_period"])
+    # By customer: an order that moved to another month must not leave its old month behind.
+    return mart.join(touched, "customer_id", "left_anti").unionByName(fresh)
 
 
 def next_watermark(*loaded: DataFrame) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from martkit.operators.load import conform_union
+from martkit.operators.ordinals import global_ordinal
 from martkit.operators.quality import (
     ensure_columns,
     find_duplicates,
@@ -292,19 +292,15 @@ def signed(t):
     """SELECT c_custkey, coalesce(balance, -1) AS balance, CAST(place AS INTEGER) AS place FROM (
         SELECT *, row_number() OVER (ORDER BY balance DESC NULLS LAST, c_custkey) AS place FROM (
             SELECT c_custkey, CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE c_acctbal END AS balance
-            FROM customer)) WHERE place <= 100""",
+            FROM customer))""",
 )
 def order_nulls(t):
     balance = F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_acctbal")).cast("double")
-    first = (
-        t("customer")
-        .select("c_custkey", balance.alias("balance"))
-        .orderBy(F.desc_nulls_last("balance"), "c_custkey")
-        .limit(100)
+    rows = t("customer").select("c_custkey", balance.alias("balance"))
+    placed = global_ordinal(rows, [F.desc_nulls_last("balance"), F.col("c_custkey")], "place")
+    return placed.select(
+        "c_custkey", F.coalesce("balance", F.lit(-1.0)).alias("balance"), F.col("place").cast("int").alias("place")
     )
-    # the window numbers the hundred rows of the report, nothing else
-    place = F.row_number().over(Window.orderBy(F.desc_nulls_last("balance"), "c_custkey"))
-    return first.select("c_custkey", F.coalesce("balance", F.lit(-1.0)).alias("balance"), place.alias("place"))
 
 
 @query(

@@ -43,13 +43,14 @@ def read_csv_with_rejects(
 
 
 def read_rows(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """Text rows ``a, b, c`` without a header, blanks around values ignored."""
+    """Text rows ``a, b, c`` without a header, blanks around values ignored; a malformed row fails the read."""
     return spark.read.csv(
         path,
         schema=_schema(schema),
         header=False,
         ignoreLeadingWhiteSpace=True,
         ignoreTrailingWhiteSpace=True,
+        mode="FAILFAST",
     )
 
 
