@@ -154,9 +154,15 @@ def merge_dim(
 def update_from(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], cols: Sequence[str]
 ) -> DataFrame:
-    """UPDATE … FROM: matched rows take ``cols`` from ``updates`` (unique on keys)."""
-    marked = updates.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in cols]).withColumn(
-        "_hit", F.lit(True)
+    """UPDATE … FROM: matched rows take ``cols`` from ``updates``.
+
+    Of several updates of one key the one with the greatest ``cols`` counts, so
+    a target row never multiplies.
+    """
+    marked = (
+        updates.groupBy(*keys)
+        .agg(F.max(F.struct(*cols)).alias("_new"))
+        .select(*keys, *[F.col("_new")[c].alias(f"_new_{c}") for c in cols], F.lit(True).alias("_hit"))
     )
     joined = join_same(target, marked, keys, "left")
     return joined.select(
@@ -232,11 +238,15 @@ def dim_increment(
 def resolve_keys(
     fact: DataFrame, dims: Sequence[tuple[DataFrame, Mapping[str, str], str]], how: str = "left"
 ) -> DataFrame:
-    """Attach surrogate keys: ``dims`` lists (dim, {fact column: dim column}, sk)."""
+    """Attach surrogate keys: ``dims`` lists (dim, {fact column: dim column}, sk).
+
+    A natural key that repeats in a dimension resolves to its least surrogate key.
+    """
     out = fact
     for dim, natural, sk in dims:
         keys = list(natural)
         lookup = dim.select(*[F.col(natural[k]).alias(k) for k in keys], sk)
+        lookup = lookup.groupBy(*keys).agg(F.min(sk).alias(sk))
         out = join_same(out, lookup, keys, how)
     return out
 

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import pytest
 
+from martkit.operators.load import resolve_keys, update_from
 from martkit.operators.select import slice_by_date
 from martkit.sources.files import read_rows
 from martkit.streaming.decode import decode_json, malformed, well_formed
@@ -44,3 +45,12 @@ def test_bad_text_rows_fail(spark, tmp_path):
     (tmp_path / "rows.txt").write_text("1, a\nx, b\n")
     with pytest.raises(Exception, match="(?i)malformed"):
         read_rows(spark, str(tmp_path / "rows.txt"), "id int, name string").collect()
+
+
+def test_repeated_keys_do_not_multiply_rows(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    updates = spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string")
+    assert sorted(map(tuple, update_from(target, updates, ["k"], ["v"]).collect())) == [(1, "y"), (2, "b")]
+    dim = spark.createDataFrame([("a", 7), ("a", 5), ("b", 9)], "name string, id int")
+    got = resolve_keys(target, [(dim, {"v": "name"}, "id")]).collect()
+    assert sorted((r.k, r.id) for r in got) == [(1, 5), (2, 9)]
