@@ -10,16 +10,20 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martkit.functions.hashing import md5_key
 from martkit.operators.joins import join_same
 from martkit.operators.load import insert_missing, missing_rows, replace_by_key
-from martkit.operators.select import latest_per_key
+from martkit.operators.select import best_per_group, latest_per_key
 from martkit.operators.sequences import previous_value
 
 
 def _stamp(load_ts: datetime | Column) -> Column:
-    return load_ts if isinstance(load_ts, Column) else F.lit(load_ts)
+    """A naive time is one of the session zone, wherever the driver runs."""
+    if isinstance(load_ts, Column) or load_ts.tzinfo is not None:
+        return load_ts if isinstance(load_ts, Column) else F.lit(load_ts)
+    return F.lit(load_ts.isoformat(sep=" ")).cast("timestamp")
 
 
 def _append(
@@ -39,13 +43,17 @@ def load_hub(
     src: str,
     attrs: Sequence[str] = (),
     only_new: bool = False,
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
     """Business keys not yet in the hub get their hash key; known ones stay.
 
+    Attributes are those of the first row by ``order_by`` (ties: the least).
     ``only_new`` returns the rows to append instead of the whole next hub.
     """
-    keyed = stage.where(F.col(bk).isNotNull()).select(bk, *attrs)
-    keyed = latest_per_key(keyed, [bk], attrs) if attrs else keyed.distinct()
+    order = [c for c in order_by if attrs and c not in (bk, *attrs)]
+    keyed = stage.where(F.col(bk).isNotNull()).select(bk, *attrs, *order)
+    first = [F.col(c) for c in dict.fromkeys([*order_by, *attrs])]
+    keyed = best_per_group(keyed, [bk], first, largest=False) if attrs else keyed.distinct()
     rows = keyed.select(
         md5_key(bk).alias(hk),
         bk,
@@ -102,16 +110,22 @@ def load_satellite(
     The stage carries ``hk``, or the business keys ``bks`` it is made of; these
     are then hashed after the batch is reduced.
 
-    ``current`` keeps one row per key, replaced whenever the key arrives.
+    ``current`` keeps one row per key, replaced whenever the key arrives: the
+    last of the batch by ``order_by``, the greatest attributes among equals.
     ``history`` adds a row for each change: a staged row counts when its
-    hashdiff differs from the row before it (in ``order_by``) or, for the
-    first of a batch, from the newest row kept.
+    hashdiff differs from the row before it, stored or staged, in ``order_by``
+    and then by hashdiff. Late rows are placed by their time like all others;
+    stored rows always stay, and a row that is stored already adds nothing.
     """
+    if not order_by:
+        raise ValueError("a satellite needs order_by: what tells the later of two rows")
+    if mode not in ("current", "history"):
+        raise ValueError(f"unknown mode {mode!r}")
     if bks is not None:
         stage = stage.dropna(subset=list(bks))
         key = hub_or_link_key(bks)
     if mode == "current":
-        order = list(order_by) if order_by else list(attrs)
+        order = list(dict.fromkeys([*order_by, *attrs]))
         keys = [hk] if bks is None else list(bks)
         batch = latest_per_key(
             stage.select(*keys, *attrs, *[c for c in order if c not in (*keys, *attrs)]), keys, order
@@ -126,36 +140,18 @@ def load_satellite(
             md5_key(hk, *attrs).alias("hashdiff"),
         )
         return rows if current is None else replace_by_key(current, rows, [hk])
-    if mode != "history":
-        raise ValueError(f"unknown mode {mode!r}")
-    if not order_by:
-        raise ValueError("history needs order_by, its first column the time of the change")
-    at = order_by[0]
     if bks is not None:
         stage = stage.withColumn(hk, key)
-    hashed = stage.select(
-        hk, *attrs, *[c for c in order_by if c not in (hk, *attrs)]
-    ).withColumn("hashdiff", md5_key(hk, *attrs))
-    steps = previous_value(hashed, [hk], order_by, "hashdiff", "_previous")
+    columns = [hk, *attrs, *[c for c in order_by if c not in (hk, *attrs)]]
+    steps = stage.select(*columns, md5_key(hk, *attrs).alias("hashdiff"), F.lit(True).alias("_new"))
     if current is not None:
-        newest = current.groupBy(hk).agg(
-            F.max_by("hashdiff", at).alias("_newest"), F.max(at).alias("_known_until")
-        )
-        steps = join_same(steps, newest, [hk], "left")
-        steps = steps.where(F.col("_known_until").isNull() | (F.col(at) > F.col("_known_until")))
-        # the batch may begin with rows already loaded: compare its first new row with the newest kept
-        steps = steps.drop("_previous", "_is_first")
-        steps = previous_value(steps, [hk], order_by, "hashdiff", "_previous").withColumn(
-            "_previous", F.when(F.col("_is_first"), F.col("_newest")).otherwise(F.col("_previous"))
-        )
+        # only the histories the batch touches take part
+        touched = join_same(current, stage.select(hk).distinct(), [hk], "left_semi")
+        steps = touched.select(*columns, "hashdiff", F.lit(False).alias("_new")).unionByName(steps)
+    steps = previous_value(steps, [hk], [*order_by, "hashdiff", "_new"], "hashdiff", "_previous")
     changed = F.col("_previous").isNull() | (F.col("_previous") != F.col("hashdiff"))
-    rows = steps.where(changed).select(
-        hk,
-        *attrs,
-        *[c for c in order_by if c not in (hk, *attrs)],
-        _stamp(load_ts).alias("load_dt"),
-        F.lit(src).alias("load_src"),
-        "hashdiff",
+    rows = steps.where(F.col("_new") & changed).select(
+        *columns, _stamp(load_ts).alias("load_dt"), F.lit(src).alias("load_src"), "hashdiff"
     )
     return rows if current is None else current.unionByName(rows)
 
@@ -171,10 +167,53 @@ ORDER_MESSAGE = """
 ORDER_SOURCE = "orders-system-kafka"
 
 
+_BAD = "_malformed"
+#: Columns of a message that tell when it arrived, as far as the source has them.
+ARRIVAL = ("timestamp", "partition", "offset")
+
+
+def decode_orders(messages: DataFrame, payload: str = "payload") -> DataFrame:
+    """(o, arrived, rejected) per message.
+
+    ``o`` is the order: the ``payload`` object of an enveloped message, else the
+    message itself. ``arrived`` orders messages: time, partition and offset of
+    the source where ``messages`` has them, then the time of the order.
+    ``rejected`` holds the text of a message that is no order, has no id or a
+    value that does not fit its type (empty text for null); it is null for a
+    good one.
+    """
+    read_as = f"{ORDER_MESSAGE}, payload struct<{ORDER_MESSAGE}>, {_BAD} string"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+    parsed = F.from_json(payload, read_as, options)
+    read = messages.select(
+        # never null: a text without an object is an order without an id
+        F.coalesce(parsed, F.from_json(F.lit("{}"), read_as, options)).alias("_m"),
+        F.col(payload).alias("_text"),
+        *[F.col(c).alias(f"_{c}") for c in ARRIVAL if c in messages.columns],
+    )
+    fields = T._parse_datatype_string(ORDER_MESSAGE).fieldNames()
+    plain = F.struct(*[F.col(f"_m.{f}").alias(f) for f in fields])
+    orders = read.withColumn("o", F.coalesce("_m.payload", plain))
+    placed = F.try_to_timestamp("o.date")
+    bad_date = F.col("o.date").isNotNull() & placed.isNull()
+    bad = F.col(f"_m.{_BAD}").isNotNull() | F.col("o.id").isNull() | bad_date
+    arrival = [F.col(f"_{c}").alias(c) for c in ARRIVAL if c in messages.columns]
+    return orders.select(
+        "o",
+        F.struct(*arrival, placed.alias("order_dt")).alias("arrived"),
+        F.when(bad, F.coalesce("_text", F.lit(""))).alias("rejected"),
+    )
+
+
 def parse_orders(messages: DataFrame, payload: str = "payload") -> DataFrame:
-    """Order documents as one struct column ``o``; texts that are no order are left out."""
-    return messages.select(F.from_json(payload, ORDER_MESSAGE).alias("o")).where(
-        F.col("o.id").isNotNull()
+    """The good messages as (o, arrived); see ``decode_orders``."""
+    return decode_orders(messages, payload).where("rejected is null").select("o", "arrived")
+
+
+def rejected_orders(messages: DataFrame, payload: str = "payload") -> DataFrame:
+    """Texts of the messages that ``parse_orders`` leaves out, in ``value``."""
+    return decode_orders(messages, payload).where("rejected is not null").select(
+        F.col("rejected").alias("value")
     )
 
 
@@ -182,7 +221,7 @@ def shred_orders(parsed: DataFrame) -> dict[str, DataFrame]:
     """Parsed orders as an ``orders`` and an ``items`` stage."""
     orders = parsed.select(
         F.col("o.id").alias("order_id"),
-        F.to_timestamp("o.date").alias("order_dt"),
+        F.col("arrived.order_dt").alias("order_dt"),
         F.col("o.cost").alias("cost"),
         F.col("o.payment").alias("payment"),
         F.col("o.status").alias("status"),
@@ -191,11 +230,14 @@ def shred_orders(parsed: DataFrame) -> dict[str, DataFrame]:
         F.col("o.user.id").alias("user_id"),
         F.col("o.user.name").alias("username"),
         F.col("o.user.id").alias("userlogin"),
+        "arrived",
+        F.lit(0).alias("position"),
     )
     items = parsed.select(
         F.col("o.id").alias("order_id"),
         F.col("o.restaurant.id").alias("restaurant_id"),
-        F.explode("o.products").alias("p"),
+        "arrived",
+        F.posexplode("o.products").alias("position", "p"),
     ).select(
         "order_id",
         "restaurant_id",
@@ -204,6 +246,8 @@ def shred_orders(parsed: DataFrame) -> dict[str, DataFrame]:
         F.col("p.category").alias("category_name"),
         F.col("p.price").alias("price"),
         F.col("p.quantity").alias("quantity"),
+        "arrived",
+        "position",
     )
     return {"orders": orders, "items": items}
 
@@ -212,10 +256,14 @@ def store_stage(messages: DataFrame, path: str, payload: str = "payload") -> dic
     """Parse the documents once into a columnar table at ``path`` and shred that.
 
     Fifteen tables read the stage; each then scans only its own nested fields.
+    ``rejects`` holds the texts that are no order, in ``value``.
     """
-    parsed = parse_orders(messages, payload)
-    parsed.write.mode("overwrite").parquet(path)
-    return shred_orders(parsed.sparkSession.read.schema(parsed.schema).parquet(path))
+    decoded = decode_orders(messages, payload)
+    decoded.write.mode("overwrite").parquet(path)
+    kept = decoded.sparkSession.read.schema(decoded.schema).parquet(path)
+    good = kept.where("rejected is null").select("o", "arrived")
+    bad = kept.where("rejected is not null").select(F.col("rejected").alias("value"))
+    return {**shred_orders(good), "rejects": bad}
 
 
 # hub -> (stage, business key, attributes)
@@ -282,18 +330,21 @@ def load_order_vault(
     Set-based: every table is one aggregate over the batch plus a keyed join
     with the current table; replaying a batch changes nothing but ``load_dt``
     of the satellite rows it brings again. ``only_new`` yields the rows to
-    append: new hub and link keys, and the batch's satellite rows.
+    append: new hub and link keys, and the batch's satellite rows. The message
+    that arrived last decides every satellite, the first one a hub's attributes.
     """
+    order = ["arrived", "position"]
     have = (current or {}).get
     out = {}
     for name, (source, bk, attrs) in HUBS.items():
         out[name] = load_hub(
-            have(name), stage[source], bk, f"{name}_pk", load_ts, src, attrs, only_new
+            have(name), stage[source], bk, f"{name}_pk", load_ts, src, attrs, only_new, order
         )
     for name, (source, hk, keys) in LINKS.items():
         out[name] = load_link(have(name), stage[source], keys, hk, load_ts, src, only_new)
     for name, (source, hk, bks, attrs) in SATELLITES.items():
         out[name] = load_satellite(
-            None if only_new else have(name), stage[source], hk, attrs, load_ts, src, bks=bks
+            None if only_new else have(name), stage[source], hk, attrs, load_ts, src,
+            order_by=order, bks=bks,
         )
     return out

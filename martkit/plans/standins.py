@@ -440,7 +440,10 @@ def subscribers(t: Tables) -> DataFrame:
 # order documents ------------------------------------------------------------
 
 
-def order_documents(t: Tables) -> DataFrame:
+def order_documents(
+    t: Tables, status: str = "o_orderstatus", user_name: str = "c_name"
+) -> DataFrame:
+    """Order documents; ``status`` and ``user_name`` are SQL expressions."""
     lines = (
         t("lineitem")
         .groupBy("l_orderkey", "l_partkey")
@@ -470,12 +473,12 @@ def order_documents(t: Tables) -> DataFrame:
                     F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("date"),
                     F.col("o_totalprice").alias("cost"),
                     F.col("o_totalprice").alias("payment"),
-                    F.col("o_orderstatus").alias("status"),
+                    F.expr(status).alias("status"),
                     F.struct(
                         F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name")
                     ).alias("restaurant"),
                     F.struct(
-                        F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name")
+                        F.col("c_custkey").cast("string").alias("id"), F.expr(user_name).alias("name")
                     ).alias("user"),
                     "products",
                 )
@@ -484,6 +487,36 @@ def order_documents(t: Tables) -> DataFrame:
     )
 
 
+def order_messages(t: Tables) -> DataFrame:
+    """Enveloped order messages with their arrival; every order comes twice, odd ones last."""
+
+    def sent(documents: DataFrame, hour: Column) -> DataFrame:
+        head = F.concat(F.lit('{"object_id":'), "object_id", F.lit(',"object_type":"order","payload":'))
+        return documents.select(
+            F.concat(head, "payload", F.lit("}")).alias("payload"),
+            (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(hours=hour)).alias("timestamp"),
+            F.col("object_id").alias("offset"),
+        )
+
+    opened = order_documents(t, "'OPEN'", "'nobody'")
+    closed = order_documents(t, user_name="concat(c_name, '/', o_orderkey)")
+    return sent(opened, F.lit(1)).unionByName(sent(closed, (F.col("object_id") % 2 + 2).cast("int")))
+
+
+def broken_messages(t: Tables) -> DataFrame:
+    """Messages that are no order: a value of a wrong type, no JSON, no text."""
+    key = F.col("o_orderkey").cast("string")
+    wrong = F.concat(F.lit('{"payload":{"id":'), key, F.lit(',"cost":"abc"}}'))
+    text = F.when(F.col("o_orderkey") % 3 == 0, wrong).when(
+        F.col("o_orderkey") % 3 == 1, F.concat(F.lit("order "), key)
+    ).otherwise("")
+    return t("orders").where("o_orderkey % 97 = 0").select(
+        text.alias("payload"),
+        F.lit("2024-01-02 00:00:00").cast("timestamp").alias("timestamp"),
+        F.col("o_orderkey").alias("offset"),
+    )
+
+
 # transactions ---------------------------------------------------------------
 
 

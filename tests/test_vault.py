@@ -14,6 +14,7 @@ from martkit.operators.vault import (
     load_order_vault,
     load_satellite,
     parse_orders,
+    rejected_orders,
     shred_orders,
 )
 from martkit.plans.marts.counters import user_category_counters, user_product_counters
@@ -109,3 +110,37 @@ def test_order_of_batches_is_irrelevant_and_counters(docs):
     categories = user_category_counters(ab)
     got = sorted((r.category_name, r.order_cnt) for r in categories.collect())
     assert got == [("main", 1), ("soup", 1), ("soup", 2), ("starter", 1), ("starter", 2)]
+
+
+def test_last_message_decides_and_rejects_are_kept(spark, docs):
+    schema = "payload string, timestamp timestamp, partition int, offset long"
+    envelope = lambda text: '{"object_id": 1, "object_type": "order", "payload": ' + text + "}"
+    a = order(1, "u1", [("p1", "soup")], user_name="zoe").replace("CLOSED", "OPEN")
+    b = order(1, "u1", [("p1", "soup")], user_name="ann")
+    bad = order(9, "u9", [("p9", "soup")]).replace("10.5", '"abc"')
+    rows = [
+        (envelope(b), T1, 0, 8), (envelope(a), T1, 0, 7), (envelope(bad), T2, 0, 9),
+        (None, T2, 0, 10), ("", T2, 0, 11), ("{}", T2, 0, 12), (order(2, "u2", []), T2, 0, 13),
+    ]
+    messages = spark.createDataFrame(rows, schema)
+    vault = load(None, messages)
+    assert tuples(vault["s_order_status"], "status") == [("CLOSED",), ("CLOSED",)]
+    assert {r.username for r in vault["s_user_names"].collect()} == {"ann", "name of u2"}
+    assert vault["h_order"].count() == 2
+    assert tuples(rejected_orders(messages)) == sorted([("",), ("",), ("{}",), (envelope(bad),)], key=str)
+    # without columns of arrival the time of the order decides
+    early, late = order(1, "u1", []), order(1, "u1", []).replace("10:00:00", "15:00:00")
+    vault = load(None, docs(late.replace("CLOSED", "A"), early.replace("CLOSED", "B")))
+    assert tuples(vault["s_order_status"], "status") == [("A",)]
+
+
+def test_history_places_late_and_tied_rows(spark):
+    schema = "hk string, v string, at timestamp, no int"
+    day = lambda d: datetime(2024, 1, d)
+    first = spark.createDataFrame([("k", "a", day(1), 1), ("k", "b", day(5), 1)], schema)
+    more = spark.createDataFrame([("k", "c", day(5), 2), ("k", "d", day(3), 1), ("k", "a", day(2), 1)], schema)
+    step = lambda now, rows: load_satellite(now, rows, "hk", ["v"], T1, "s", "history", ["at", "no"])
+    once = step(step(None, first), more)
+    assert [r.v for r in once.orderBy("at", "no").collect()] == ["a", "d", "b", "c"]
+    assert tuples(step(once, more)) == tuples(once)
+    assert tuples(step(once, first)) == tuples(once)
