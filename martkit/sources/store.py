@@ -84,4 +84,5 @@ class TableStore:
 
 
 def _safe(token: str) -> str:
-    return re.sub(r"[^A-Za-z0-9.-]", "_", token)
+    """Name of a folder; different tokens have different names."""
+    return re.sub(r"[^A-Za-z0-9.-]", lambda m: f"_{m[0].encode().hex()}_", token)

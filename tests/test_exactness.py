@@ -10,6 +10,7 @@ from pathlib import Path
 
 import pytest
 
+from martkit.sources.store import TableStore
 from martkit.operators.load import resolve_keys, update_from
 from martkit.operators.select import slice_by_date
 from martkit.sources.files import read_rows
@@ -54,3 +55,11 @@ def test_repeated_keys_do_not_multiply_rows(spark):
     dim = spark.createDataFrame([("a", 7), ("a", 5), ("b", 9)], "name string, id int")
     got = resolve_keys(target, [(dim, {"v": "name"}, "id")]).collect()
     assert sorted((r.k, r.id) for r in got) == [(1, 5), (2, 9)]
+
+
+def test_different_tokens_are_stored_apart(spark, tmp_path):
+    rows = spark.createDataFrame([(1,)], "a int")
+    store = TableStore(spark, f"{tmp_path}/towns", rows.schema)
+    assert store.append(rows, "Москва") and store.append(rows, "Казань") and store.append(rows, "a_b")
+    assert not store.append(rows, "Казань")
+    assert store.read().count() == 3 and store.written("Казань").count() == 1
