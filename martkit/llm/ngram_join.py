@@ -148,6 +148,7 @@ def class_links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> D
     """(node, component) over classes; classes without a link are absent."""
     heads = stored(_screened(sets, percent), "heads")
     text = docs.join(heads.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+    text = text.unionAll(docs.where("doc_id is null").select("text"))  # classes without an id; known ones meet again below
     tokens = stored(
         _shingle_rows(text, words).join(heads.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]), "shingles"
     )
