@@ -1,9 +1,10 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
-A fingerprint keeps every shingle hash below 1 / ``SCALE`` of the hash range,
-whatever the length of the text. Sketches of parts merge into that of the whole
-by set union, and the share of one sketch found in another estimates
-containment even between a sentence and a book.
+A fingerprint keeps every shingle hash below 1 / ``SCALE`` of the hash range, and
+never fewer than the ``LEAST`` lowest: short texts are kept whole. Two
+fingerprints are compared below the lower of their bounds, where both know all
+hashes. Sketches of parts merge into that of the whole, and the share of one
+sketch found in another estimates containment even between a passage and a book.
 """
 
 from __future__ import annotations
@@ -21,59 +22,71 @@ from martkit.llm.tokens import shingle_set
 
 WORDS = 5
 SCALE = 16
-_BYTES = 6  # kept of each hash; the dropped low bits do not decide what is retained
+LEAST = 32
+_BYTES = 5  # kept of each hash; the dropped low bits do not decide what is retained
+_RANGE = 1 << (8 * _BYTES)
+
+
+def _cut(hashes: np.ndarray, scale: int) -> np.ndarray:
+    """Of sorted short hashes those below the threshold, or the ``LEAST`` lowest if they are fewer."""
+    return hashes[: max(LEAST, int(np.searchsorted(hashes, np.uint64(_RANGE // scale))))]
+
+
+def _bound(kept: np.ndarray, scale: int) -> int:
+    """All hashes of the text below this are in its sketch."""
+    if len(kept) < LEAST:
+        return _RANGE
+    return max(_RANGE // scale, int(kept[-1]) + 1)
 
 
 def sketch(text: str | None, words: int = WORDS, scale: int = SCALE) -> np.ndarray:
-    """Sorted retained hashes, shortened to 48 bits."""
+    """Sorted retained hashes, shortened to 40 bits."""
     hashes = shingle_set(text, words)
-    kept = hashes[: np.searchsorted(hashes, np.uint64((1 << 64) // scale))]
-    return np.unique(kept >> np.uint64(16))
+    return _cut(np.unique(hashes >> np.uint64(64 - 8 * _BYTES)), scale)
 
 
 def encode(kept: np.ndarray, text: str | None = "") -> str:
-    """Printable fingerprint: ``s`` and the hashes in base64.
-
-    A text of which no hash is retained gets ``e`` and a digest of its shingle
-    set instead: it has no sketch, but equal texts still have equal fingerprints.
-    """
-    if len(kept):
-        raw = kept.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - _BYTES :].tobytes()
-        return "s" + base64.b64encode(raw).decode()
-    digest = hashlib.blake2b(shingle_set(text, WORDS).tobytes(), digest_size=9).digest()
-    return "e" + base64.b64encode(digest).decode()
+    """Printable fingerprint: ``s`` and the hashes in base64, which say all; ``text`` is not looked at."""
+    raw = kept.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - _BYTES :].tobytes()
+    return "s" + base64.b64encode(raw).decode()
 
 
 def decode(fingerprint: str) -> np.ndarray:
-    if fingerprint[:1] != "s":
-        return np.zeros(0, np.uint64)
     raw = np.frombuffer(base64.b64decode(fingerprint[1:]), np.uint8).reshape(-1, _BYTES)
     out = np.zeros((len(raw), 8), np.uint8)
     out[:, 8 - _BYTES :] = raw
     return out.reshape(-1).view(">u8").astype(np.uint64)
 
 
-def merge(a: str, b: str) -> str:
+def merge(a: str, b: str, scale: int = SCALE) -> str:
     """Fingerprint of both texts together, up to the shingles across their seam."""
-    both = np.union1d(decode(a), decode(b))
-    return encode(both) if len(both) else max(a, b)
+    x, y = decode(a), decode(b)
+    both = np.union1d(x, y)
+    bound = min(_bound(x, scale), _bound(y, scale))
+    return encode(_cut(both[: np.searchsorted(both, np.uint64(bound))], scale))
+
+
+def _common(x: np.ndarray, y: np.ndarray, scale: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both sketches below the bound under which either is complete."""
+    bound = np.uint64(min(_bound(x, scale), _bound(y, scale)))
+    return x[: np.searchsorted(x, bound)], y[: np.searchsorted(y, bound)]
 
 
-def containment(a: str, b: str) -> float:
-    """Estimated share of the first text's shingles that the second holds."""
+def containment(a: str, b: str, scale: int = SCALE) -> float | None:
+    """Estimated share of the first text's shingles that the second holds; None if nothing tells."""
     if a == b:
         return 1.0
-    x = decode(a)
-    return float(np.isin(x, decode(b), assume_unique=True).mean()) if len(x) else 0.0
+    x, y = _common(decode(a), decode(b), scale)
+    return float(np.isin(x, y, assume_unique=True).mean()) if len(x) else None
 
 
-def likeness(a: str, b: str, x: np.ndarray | None = None, y: np.ndarray | None = None) -> float:
-    """Estimated Jaccard similarity; 1 for equal fingerprints, 0 if a sketch is empty."""
+def likeness(a: str, b: str, x: np.ndarray | None = None, y: np.ndarray | None = None, scale: int = SCALE) -> float:
+    """Estimated Jaccard similarity; 1 for equal fingerprints, exact where both texts are kept whole."""
     if a == b:
         return 1.0
-    x, y = decode(a) if x is None else x, decode(b) if y is None else y
+    x, y = _common(decode(a) if x is None else x, decode(b) if y is None else y, scale)
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both) if len(x) and len(y) else 0.0
+    return both / (len(x) + len(y) - both) if both else 0.0
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS, scale: int = SCALE) -> DataFrame:
