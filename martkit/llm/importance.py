@@ -64,14 +64,15 @@ def log_ratio(docs: DataFrame, target_ids: DataFrame, smoothing: float = 1.0) ->
 
 
 def importance_resample(
-    docs: DataFrame, labels: DataFrame, target_rows: int = 20_000, seed: int = 11
+    docs: DataFrame, labels: DataFrame, target_rows: int = 20_000, seed: int = 11, size_of_target: bool = False
 ) -> DataFrame:
     """(doc_id, n_grams, log_weight, gumbel_key, keep) per row of ``docs`` (doc_id, text).
 
     Target texts are the documents labelled good and not toxic, at most
     ``target_rows`` of them, chosen by hash; the raw model counts every text.
     ``k`` is the share of labels with good quality times the number of rows, so the
-    resample has the size the labels suggest. Null and wordless texts have no n-gram and
+    resample has the size the labels suggest; with ``size_of_target`` it is the share
+    of those that are not toxic either, as in the target. Null and wordless texts have no n-gram and
     weight 0. Equal keys go by doc_id; repeated rows have equal weights. Without
     labels nothing tells texts apart and all are kept. Null labels count as not
     good, repeated labels once each. Other columns are ignored.
@@ -101,7 +102,7 @@ def importance_resample(
     # 53 bits of a hash of the id, never 0 or 1: the same noise in every run
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
     rows = stored(rows.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(uniform))), "weights")
-    share = told.fine / told.n if told.n else 1.0
+    share = (told.good if size_of_target else told.fine) / told.n if told.n else 1.0
     k = round(rows.count() * share)
     ranked = global_ordinal(rows.withColumn("_down", -F.col("gumbel_key")), ["_down", "doc_id"], "_rank")
     return ranked.select("doc_id", "n_grams", "log_weight", "gumbel_key", (F.col("_rank") <= k).alias("keep"))

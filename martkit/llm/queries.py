@@ -25,7 +25,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_importance_resample(spark, sf_dir):
-    return importance.importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    labels = _table(spark, sf_dir, "labels")
+    return importance.importance_resample(_table(spark, sf_dir, "documents"), labels, size_of_target=True)
 
 
 def op2_language_id(spark, sf_dir):
