@@ -64,6 +64,12 @@ def with_near_cells(df: DataFrame, lat: str, lon: str, km: float) -> DataFrame:
     )
 
 
+def _on_globe(lat: Column, lon: Column) -> Column:
+    """Latitude from -90 to 90 and a finite longitude; false for null and NaN."""
+    lat, lon = lat.cast("double"), lon.cast("double")
+    return F.coalesce(lat.between(-90, 90) & (F.abs(lon) < F.lit(float("inf"))), F.lit(False))
+
+
 def nearest_point(
     events: DataFrame,
     places: DataFrame,
@@ -79,14 +85,15 @@ def nearest_point(
 ) -> DataFrame:
     """Add the nearest place (its id, the ``keep`` columns, ``distance_km``) to each event.
 
-    Events without coordinates get nulls. The smallest id wins a tie. Up to
+    Events without valid coordinates (latitude from -90 to 90, finite longitude)
+    get nulls, places without them are left out. The smallest id wins a tie. Up to
     ``max_packed`` places (checked by a count that stops there) are laid over a
     fixed raster, and events look up the few candidates of their raster cell:
     they are neither shuffled nor multiplied. More places go through a grid
     join. ``event_id`` must be unique.
     """
     x, y, z = unit_vector(F.col(place_lat).cast("double"), F.col(place_lon).cast("double"))
-    points = places.where(F.col(place_lat).isNotNull() & F.col(place_lon).isNotNull()).select(
+    points = places.where(_on_globe(F.col(place_lat), F.col(place_lon))).select(
         F.col(place_id).alias("_id"),
         x.alias("_x"),
         y.alias("_y"),
@@ -162,7 +169,7 @@ def _nearest_by_raster(events: DataFrame, points: DataFrame, lat: str, lon: str)
     nearest = F.array_min(F.transform("_candidates", scored))["i"]
     chosen = F.get("_all", F.col("_nearest"))
     return (
-        events.withColumn("_cell", (row * _RASTER_COLUMNS + column).cast("int"))
+        events.withColumn("_cell", F.when(_on_globe(F.col(lat), F.col(lon)), (row * _RASTER_COLUMNS + column).cast("int")))
         .join(F.broadcast(cells), "_cell", "left")
         .withColumns(
             {
@@ -190,7 +197,7 @@ def _nearest_by_grid(
     events: DataFrame, points: DataFrame, event_id: str, lat: str, lon: str, km: float
 ) -> DataFrame:
     """Search ever coarser grids; a match no farther than the cell size is final."""
-    open_events = events.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
+    open_events = events.where(_on_globe(F.col(lat), F.col(lon))).select(
         F.col(event_id).alias("_event"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon")
     )
     chord = _chord(

@@ -132,7 +132,7 @@ def calendar_join(t):
     per_day = t("orders").groupBy(F.to_date("o_orderdate").alias("date_actual")).agg(
         F.count("*").alias("orders")
     )
-    return per_day.join(s.calendar(t.spark), "date_actual").select(
+    return per_day.join(s.calendar_of(per_day, "date_actual"), "date_actual", "left").select(
         "date_id", "weekend", "first_day_of_week", "week_of_year", "orders"
     )
 

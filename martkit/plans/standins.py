@@ -265,6 +265,12 @@ def calendar(spark) -> DataFrame:
     return calendar_dim(spark, *CALENDAR)
 
 
+def calendar_of(days: DataFrame, day: str) -> DataFrame:
+    """Calendar from the first to the last ``day`` of ``days``."""
+    ends = days.agg(F.min(day).alias("low"), F.max(day).alias("high")).first()
+    return calendar_dim(days.sparkSession, *(CALENDAR if ends.low is None else (ends.low, ends.high)))
+
+
 # courier deliveries ---------------------------------------------------------
 
 
