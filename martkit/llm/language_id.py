@@ -171,6 +171,8 @@ def held_out(doc_id: Column) -> Column:
 def learn(docs: DataFrame, rows_per_language: int = 250, windows_per_row: int = 24, **options) -> Network | None:
     """Network from at most ``rows_per_language`` rows of each language, chosen by hash.
 
+    Rows without a letter are not counted. With more than ``MAX_LANGUAGES`` languages
+    each has fewer rows, so that ``rows_per_language * MAX_LANGUAGES`` ids suffice.
     The texts of the sample are read whole; ``windows_per_row`` windows of each,
     evenly spaced, are learned. Both bounds keep the sample small at every size
     of the table. None if no row has a language, a letter and a place in the sample.
@@ -178,12 +180,14 @@ def learn(docs: DataFrame, rows_per_language: int = 250, windows_per_row: int =
     usable = F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.coalesce(F.rlike("text", F.lit("\\p{L}")), F.lit(False))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = (
-        docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+        docs.where(usable)
         .select("lang", "doc_id")
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= rows_per_language)
     )
-    chosen = [r.doc_id for r in ids.select("doc_id").distinct().limit(rows_per_language * MAX_LANGUAGES).collect()]
+    # First ranks first, so that the bound takes rows from every language before any language's later ones.
+    ids = ids.groupBy("doc_id").agg(F.min("rank").alias("rank")).orderBy("rank", "doc_id")
+    chosen = [r.doc_id for r in ids.limit(rows_per_language * MAX_LANGUAGES).collect()]
     sample = docs.where(usable & F.col("doc_id").isin(chosen)).select("doc_id", "lang", "text")
     each = max(1, windows_per_row)
 
@@ -291,7 +295,11 @@ def identify_languages(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
-    """Rows of ``docs`` whose language is known: not ``und``, and with a score of ``min_score`` or more."""
+    """Rows of ``docs`` whose language is known: not ``und``, and with a score of ``min_score`` or more.
+
+    The score is 1 / n at least among n languages, so ``min_score`` rejects
+    nothing of up to 1 / ``min_score`` languages.
+    """
     net = learn(docs)
     # As one struct, the columns cannot clash with those of the answer.
     rest = docs.select("text", F.struct(*docs.columns).alias("row"))
