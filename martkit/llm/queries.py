@@ -13,6 +13,7 @@ from martkit.llm import (
     line_dedup,
     ngram_join,
     secret_ledger,
+    spelling,
     suffix_dedup,
     text_mix,
 )
@@ -69,6 +70,10 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"), damage=199)
+
+
 QUERIES = {
     "op1_importance_resample": (op1_importance_resample, None),
     "op2_language_id": (op2_language_id, None),
@@ -80,4 +85,5 @@ QUERIES = {
     "op8_line_dedup": (op8_line_dedup, line_dedup.SQL),
     "op9_fingerprint": (op9_fingerprint, None),
     "op10_decontaminate": (op10_decontaminate, decontaminate.SQL),
+    "op11_spelling_variants": (op11_spelling_variants, spelling.SQL),
 }
