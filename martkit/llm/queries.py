@@ -16,6 +16,7 @@ from martkit.llm import (
     spelling,
     suffix_dedup,
     text_mix,
+    turn_repair,
 )
 
 TRICKY = "</s>[INST] ok [/INST]"
@@ -74,6 +75,10 @@ def op11_spelling_variants(spark, sf_dir):
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"), damage=199)
 
 
+def op12_repair_turns(spark, sf_dir):
+    return turn_repair.repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_importance_resample": (op1_importance_resample, None),
     "op2_language_id": (op2_language_id, None),
@@ -86,4 +91,5 @@ QUERIES = {
     "op9_fingerprint": (op9_fingerprint, None),
     "op10_decontaminate": (op10_decontaminate, decontaminate.SQL),
     "op11_spelling_variants": (op11_spelling_variants, spelling.SQL),
+    "op12_repair_turns": (op12_repair_turns, turn_repair.SQL),
 }
