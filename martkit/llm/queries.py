@@ -12,6 +12,7 @@ from martkit.llm import (
     language_id,
     line_dedup,
     ngram_join,
+    page_text,
     secret_ledger,
     spelling,
     suffix_dedup,
@@ -79,6 +80,10 @@ def op12_repair_turns(spark, sf_dir):
     return turn_repair.repair_damaged(_table(spark, sf_dir, "conversations"))
 
 
+def op13_page_text(spark, sf_dir):
+    return page_text.extract_pages(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op1_importance_resample": (op1_importance_resample, None),
     "op2_language_id": (op2_language_id, None),
@@ -92,4 +97,5 @@ QUERIES = {
     "op10_decontaminate": (op10_decontaminate, decontaminate.SQL),
     "op11_spelling_variants": (op11_spelling_variants, spelling.SQL),
     "op12_repair_turns": (op12_repair_turns, turn_repair.SQL),
+    "op13_page_text": (op13_page_text, page_text.SQL),
 }
