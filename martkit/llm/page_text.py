@@ -25,6 +25,7 @@ from martkit.llm.common import unused
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>(?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*))>""", re.S
 )
+_OPEN = re.compile("</?[a-zA-Z]|<[!?]")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME_PARTS = re.compile("[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -140,10 +141,9 @@ def blocks(page: str) -> list[Block]:
 
     at = 0
     while True:
-        m = _TOKEN.search(page, at)
-        chunk = page[at : m.start() if m else len(page)]
-        if m is None and (cut := re.search(r"<[a-zA-Z/!?]", chunk)):
-            chunk = chunk[: cut.start()]  # a tag that never ends
+        start = _OPEN.search(page, at)
+        m = _TOKEN.match(page, start.start()) if start else None  # none: the page ends inside a tag
+        chunk = page[at : start.start() if start else len(page)]
         if chunk:
             pieces.append(chunk)
             if any(s[0] == "a" for s in stack):
