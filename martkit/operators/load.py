@@ -280,10 +280,14 @@ def revert_status(
 def rekey(
     tables: Sequence[tuple[DataFrame, str]], mapping: DataFrame, old: str = "old", new: str = "new"
 ) -> list[DataFrame]:
-    """Rename a business key in every table; ``mapping`` is unique on ``old``."""
+    """Rename a business key in every table.
+
+    An ``old`` key that ``mapping`` names more than once gets its least ``new``
+    key, so a row never multiplies; a null ``new`` key renames nothing.
+    """
     out = []
     for df, col in tables:
-        lookup = mapping.select(F.col(old).alias("_old"), F.col(new).alias("_new"))
+        lookup = mapping.groupBy(F.col(old).alias("_old")).agg(F.min(new).alias("_new"))
         joined = df.join(lookup, F.col(col) == F.col("_old"), "left")
         out.append(
             joined.select(

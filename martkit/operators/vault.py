@@ -17,6 +17,7 @@ from martkit.operators.joins import join_same
 from martkit.operators.load import insert_missing, missing_rows, replace_by_key
 from martkit.operators.select import best_per_group, latest_per_key
 from martkit.operators.sequences import previous_value
+from martkit.sources.files import write_partitioned
 
 
 def _stamp(load_ts: datetime | Column) -> Column:
@@ -156,6 +157,60 @@ def load_satellite(
     return rows if current is None else current.unionByName(rows)
 
 
+def log_events(
+    stage: DataFrame,
+    path: str,
+    token: str,
+    hk: str,
+    attrs: Sequence[str],
+    order_by: Sequence[str],
+    load_ts: datetime | Column,
+    src: str,
+    bks: Sequence[str] | None = None,
+) -> None:
+    """Add every event of a batch to the log of a satellite; a batch that runs again replaces itself.
+
+    The log is partitioned by ``load_token``. Nothing stored is read, and nothing
+    is left out, so late rows lose no change. Rows without a business key are no
+    event.
+    """
+    if not order_by:
+        raise ValueError("a satellite needs order_by: what tells the later of two rows")
+    if bks is not None:
+        stage = stage.dropna(subset=list(bks)).withColumn(hk, hub_or_link_key(bks))
+    columns = [hk, *attrs, *[c for c in order_by if c not in (hk, *attrs)]]
+    events = stage.where(F.col(hk).isNotNull()).select(
+        *columns,
+        _stamp(load_ts).alias("load_dt"),
+        F.lit(src).alias("load_src"),
+        md5_key(hk, *attrs).alias("hashdiff"),
+        F.lit(token).alias("load_token"),
+    )
+    write_partitioned(events, path, ["load_token"])
+
+
+def changes_of_log(log: DataFrame, hk: str, order_by: Sequence[str]) -> DataFrame:
+    """The history of a satellite: events of ``log`` whose hashdiff differs from that of the event before.
+
+    Derived from the whole log by ``order_by``, then hashdiff, so any split of the
+    events into batches, in any order, gives the same rows. An event that came in
+    several batches counts once, as the batch that loaded it first (ties: the
+    least token).
+    """
+    order = [*[c for c in order_by if c != hk], "hashdiff"]
+    known = [c for c in log.columns if c not in (hk, *order, "load_dt", "load_token")]
+    once = log.groupBy(hk, *order).agg(F.min(F.struct("load_dt", "load_token", *known)).alias("_first"))
+    once = once.select(hk, *order, *[F.col(f"_first.{c}").alias(c) for c in ("load_dt", "load_token", *known)])
+    steps = previous_value(once, [hk], order, "hashdiff", "_previous")
+    changed = F.col("_previous").isNull() | (F.col("_previous") != F.col("hashdiff"))
+    return steps.where(changed).select(*log.columns)
+
+
+def latest_of_log(log: DataFrame, hk: str, order_by: Sequence[str]) -> DataFrame:
+    """One row per key: the last event of the log."""
+    return latest_per_key(log, [hk], [*order_by, "hashdiff", "load_token"])
+
+
 # Shape of an order message and the name of its source system.
 ORDER_MESSAGE = """
     id bigint, date string, cost decimal(19,5), payment decimal(19,5), status string,

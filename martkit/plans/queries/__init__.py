@@ -2,6 +2,7 @@
 
 from martkit.plans.queries import (  # noqa: F401
     aggregates,
+    changing,
     filters,
     geo,
     joins,

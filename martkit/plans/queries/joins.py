@@ -53,20 +53,24 @@ def join_left(t):
 
 @query(
     "join_full",
-    """SELECT coalesce(a.k, b.k) AS nationkey, coalesce(customers, 0) AS customers,
-        coalesce(suppliers, 0) AS suppliers
-    FROM (SELECT c_nationkey AS k, count(*) AS customers FROM customer WHERE c_acctbal > 9900
-          GROUP BY 1) a
-    FULL JOIN (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier GROUP BY 1) b
-        ON a.k = b.k""",
+    """SELECT coalesce(a.k, b.k) AS nationkey, coalesce(a.band, b.band) AS band,
+        coalesce(customers, 0) AS customers, coalesce(suppliers, 0) AS suppliers
+    FROM (SELECT c_nationkey AS k, CAST(floor(CAST(c_acctbal AS DECIMAL(12,2)) / 250) AS BIGINT) AS band,
+              count(*) AS customers FROM customer GROUP BY 1, 2) a
+    FULL JOIN (SELECT s_nationkey AS k, CAST(floor(CAST(s_acctbal AS DECIMAL(12,2)) / 250) AS BIGINT) AS band,
+              count(*) AS suppliers FROM supplier GROUP BY 1, 2) b
+        ON a.k = b.k AND a.band = b.band""",
 )
 def join_full(t):
-    rich = t("customer").where(F.col("c_acctbal") > 9900)
-    a = rich.groupBy(F.col("c_nationkey").alias("nationkey")).agg(F.count("*").alias("customers"))
-    b = t("supplier").groupBy(F.col("s_nationkey").alias("nationkey")).agg(
-        F.count("*").alias("suppliers")
-    )
-    return a.join(b, "nationkey", "full").na.fill(0, ["customers", "suppliers"])
+    """All customers and suppliers by nation and balance; either side may lack a cell."""
+
+    def cells(name, p, count):
+        band = F.floor(F.col(f"{p}_acctbal") / 250).cast("bigint")
+        keys = [F.col(f"{p}_nationkey").alias("nationkey"), band.alias("band")]
+        return t(name).groupBy(*keys).agg(F.count("*").alias(count))
+
+    joined = cells("customer", "c", "customers").join(cells("supplier", "s", "suppliers"), ["nationkey", "band"], "full")
+    return joined.na.fill(0, ["customers", "suppliers"])
 
 
 @query(

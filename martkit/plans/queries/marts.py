@@ -131,6 +131,10 @@ def report_incremental(t):
 _STAGED_ORDER = ["date_time"]
 
 
+def _sale_days(t):
+    return t("lineitem").select(F.to_date("l_shipdate").alias("day"))
+
+
 @query(
     "customer_retention",
     with_(
@@ -154,7 +158,7 @@ _STAGED_ORDER = ["date_time"]
 )
 def retention(t):
     staged = retail.stage_order_log(s.user_order_log(t), _STAGED_ORDER)
-    return retail.customer_retention(retail.sales_fact(staged, s.calendar(t.spark)))
+    return retail.customer_retention(retail.sales_fact(staged, s.calendar_of(_sale_days(t), "day")))
 
 
 @query(
@@ -166,7 +170,7 @@ def retention(t):
 def sales_fact(t):
     """First load of all days, then one business day loaded again."""
     staged = t.stored(retail.stage_order_log(s.user_order_log(t), _STAGED_ORDER), "order-log")
-    dates = s.calendar(t.spark)
+    dates = s.calendar_of(_sale_days(t), "day")
     loaded = t.stored(retail.sales_fact(staged, dates), "f-sales")
     again = retail.sales_fact(staged, dates, date(1998, 7, 1))
     return replace_slice(loaded, again, "date_id").drop("date_actual")

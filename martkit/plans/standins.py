@@ -261,10 +261,6 @@ def user_order_log(t: Tables) -> DataFrame:
     )
 
 
-def calendar(spark) -> DataFrame:
-    return calendar_dim(spark, *CALENDAR)
-
-
 def calendar_of(days: DataFrame, day: str) -> DataFrame:
     """Calendar from the first to the last ``day`` of ``days``."""
     ends = days.agg(F.min(day).alias("low"), F.max(day).alias("high")).first()
@@ -543,8 +539,9 @@ def transactions(t: Tables) -> DataFrame:
 
 
 def currency_rates(t: Tables) -> DataFrame:
-    """Rate of every currency and calendar day into currency 0."""
-    first, last = CALENDAR
+    """Rate of every currency into currency 0, for every day from the first to the last order."""
+    ends = t("orders").agg(F.min(F.to_date("o_orderdate")).alias("low"), F.max(F.to_date("o_orderdate")).alias("high")).first()
+    first, last = CALENDAR if ends.low is None else (ends.low, ends.high)
     return t("nation").select(
         F.explode(F.sequence(F.lit(first), F.lit(last))).alias("date_update"),
         F.col("n_nationkey").alias("currency_code"),
