@@ -38,9 +38,8 @@ def op2_language_id(spark, sf_dir):
 
 def op3_chat_format(spark, sf_dir):
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], rows.schema)
-    # Its SQL counts the characters of texts that are marked only where they must be.
-    return chat_format.chat_digest(rows.unionByName(extra), escape_all=False)
+    extra = spark.sql(f"SELECT -7L AS conv_id, turn, role, '{TRICKY}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    return chat_format.chat_digest(rows.unionByName(extra))
 
 
 def op4_suffix_dedup(spark, sf_dir):
