@@ -1,10 +1,11 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
-A fingerprint keeps every shingle hash below 1 / ``SCALE`` of the hash range, and
-never fewer than the ``LEAST`` lowest: short texts are kept whole. Two
-fingerprints are compared below the lower of their bounds, where both know all
-hashes. Sketches of parts merge into that of the whole, and the share of one
-sketch found in another estimates containment even between a passage and a book.
+A fingerprint keeps every shingle hash below 1 / ``SCALE`` of the hash range, one
+fixed fraction for texts of every length. So sketches of parts merge into that of
+the whole, and the share of one sketch found in another estimates containment
+even between a passage and a book. A text of which nothing lies below the
+threshold keeps its least hash instead; two such texts count as equal if their least
+hashes are, and as unlike if not.
 """
 
 from __future__ import annotations
@@ -21,22 +22,19 @@ from martkit.llm.ordered import adjacent
 from martkit.llm.tokens import shingle_set
 
 WORDS = 5
-SCALE = 16
-LEAST = 32
+SCALE = 8
 _BYTES = 5  # kept of each hash; the dropped low bits do not decide what is retained
 _RANGE = 1 << (8 * _BYTES)
 
 
 def _cut(hashes: np.ndarray, scale: int) -> np.ndarray:
-    """Of sorted short hashes those below the threshold, or the ``LEAST`` lowest if they are fewer."""
-    return hashes[: max(LEAST, int(np.searchsorted(hashes, np.uint64(_RANGE // scale))))]
+    """Of sorted short hashes those below the threshold; if there are none, the least."""
+    return hashes[: max(1, int(np.searchsorted(hashes, np.uint64(_RANGE // scale))))]
 
 
-def _bound(kept: np.ndarray, scale: int) -> int:
-    """All hashes of the text below this are in its sketch."""
-    if len(kept) < LEAST:
-        return _RANGE
-    return max(_RANGE // scale, int(kept[-1]) + 1)
+def _retained(kept: np.ndarray, scale: int) -> np.ndarray:
+    """The hashes of a sketch that estimates may use."""
+    return kept if len(kept) and kept[0] < _RANGE // scale else kept[:0]
 
 
 def sketch(text: str | None, words: int = WORDS, scale: int = SCALE) -> np.ndarray:
@@ -45,8 +43,8 @@ def sketch(text: str | None, words: int = WORDS, scale: int = SCALE) -> np.ndarr
     return _cut(np.unique(hashes >> np.uint64(64 - 8 * _BYTES)), scale)
 
 
-def encode(kept: np.ndarray, text: str | None = "") -> str:
-    """Printable fingerprint: ``s`` and the hashes in base64, which say all; ``text`` is not looked at."""
+def encode(kept: np.ndarray) -> str:
+    """Printable fingerprint: ``s`` and the hashes in base64."""
     raw = kept.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - _BYTES :].tobytes()
     return "s" + base64.b64encode(raw).decode()
 
@@ -60,31 +58,22 @@ def decode(fingerprint: str) -> np.ndarray:
 
 def merge(a: str, b: str, scale: int = SCALE) -> str:
     """Fingerprint of both texts together, up to the shingles across their seam."""
-    x, y = decode(a), decode(b)
-    both = np.union1d(x, y)
-    bound = min(_bound(x, scale), _bound(y, scale))
-    return encode(_cut(both[: np.searchsorted(both, np.uint64(bound))], scale))
-
-
-def _common(x: np.ndarray, y: np.ndarray, scale: int) -> tuple[np.ndarray, np.ndarray]:
-    """Both sketches below the bound under which either is complete."""
-    bound = np.uint64(min(_bound(x, scale), _bound(y, scale)))
-    return x[: np.searchsorted(x, bound)], y[: np.searchsorted(y, bound)]
+    return encode(_cut(np.union1d(decode(a), decode(b)), scale))
 
 
 def containment(a: str, b: str, scale: int = SCALE) -> float | None:
-    """Estimated share of the first text's shingles that the second holds; None if nothing tells."""
+    """Estimated share of the first text's shingles that the second holds; None if the first retained none and they differ."""
     if a == b:
         return 1.0
-    x, y = _common(decode(a), decode(b), scale)
+    x, y = _retained(decode(a), scale), _retained(decode(b), scale)
     return float(np.isin(x, y, assume_unique=True).mean()) if len(x) else None
 
 
 def likeness(a: str, b: str, x: np.ndarray | None = None, y: np.ndarray | None = None, scale: int = SCALE) -> float:
-    """Estimated Jaccard similarity; 1 for equal fingerprints, exact where both texts are kept whole."""
+    """Estimated Jaccard similarity; 1 for equal fingerprints, 0 where neither text retained a hash and they differ."""
     if a == b:
         return 1.0
-    x, y = _common(decode(a) if x is None else x, decode(b) if y is None else y, scale)
+    x, y = _retained(decode(a) if x is None else x, scale), _retained(decode(b) if y is None else y, scale)
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both / (len(x) + len(y) - both) if both else 0.0
 
@@ -95,7 +84,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS, scale: int = SCALE) -> Dat
     def read(batches):
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            told = [encode(sketch(t, words, scale), t) for t in texts]
+            told = [encode(sketch(t, words, scale)) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(told, pa.string())], names=["doc_id", "fingerprint"])
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
@@ -117,14 +106,14 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     def prepare(row):
         doc_id, text = row
         kept = sketch(text)
-        return doc_id, text, kept, encode(kept, text)
+        return doc_id, text, kept, encode(kept)
 
     def pair(now, then):
         doc_id, text, kept, told = now
         cut = len(text) // 3
         edited = text[: len(text) - cut] + then[1][:cut]
         edited_kept = sketch(edited)
-        edited_told = encode(edited_kept, edited)
+        edited_told = encode(edited_kept)
         digest = hashlib.sha256(edited.encode("utf-8")).hexdigest()
         yield (
             doc_id, len(text), digest, told, edited_told,
