@@ -9,7 +9,7 @@ from martkit.session import scratch_path
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written as Parquet below ``spark.checkpoint.dir`` and read again.
 
     Cuts the lineage with files all executors share, and lets Spark drop the
@@ -21,7 +21,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", codec).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -45,12 +45,14 @@ def adjacent(
     pair: Callable[[object, object], Iterable[tuple]],
     schema: str,
     around: bool = False,
+    codec: str = "snappy",
 ) -> DataFrame:
     """Rows of ``schema`` that ``pair(prepare(row), prepare(next row))`` yields for all adjacent rows.
 
     ``order`` should tell different rows apart; rows equal in it come in any
     order. ``around`` also pairs the last row with the first. The walk is stored
-    once, so both uses of a partition's borders see the same split.
+    once, so both uses of a partition's borders see the same split; ``codec``
+    compresses it.
     """
     out_type = T._parse_datatype_string(schema)
     names, n_out, n_in = df.columns, len(out_type.fields), len(df.columns)
@@ -79,7 +81,7 @@ def adjacent(
         yield from _batches(rows(), arrow)
 
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    done = stored(placed.mapInArrow(walk, walked), "walk")
+    done = stored(placed.mapInArrow(walk, walked), "walk", codec)
 
     edges = done.where("place is not null").select("part", "place", *[F.col(f"edge_{c}").alias(c) for c in names])
     parts = edges.where("place = 'first'").select("part")
