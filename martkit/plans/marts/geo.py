@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from martkit.functions.dates import local_time, week_start
+from martkit.operators.joins import join_same
 from martkit.operators.pairs import co_occurring_pairs, exclude_known_pairs
 from martkit.operators.points import nearest_point
 from martkit.operators.select import best_per_group, latest_per_key, ordered_list
@@ -14,6 +15,21 @@ from martkit.operators.sequences import islands, longest_island
 KINDS = ("message", "reaction", "subscription")
 
 
+def travel_steps(
+    messages: DataFrame, cities: DataFrame, chunk: Column | None = None
+) -> DataFrame:
+    """(user_id, step, city): the travel list in long form, one row per stay, numbered in order.
+
+    No list is built, so a user with any number of stays spreads over tasks.
+    """
+    sent = messages.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(
+        "event_id", "user_id", "ts", "lat", "lon"
+    )
+    located = nearest_point(sent, cities, "event_id", "city_id", keep=["city"])
+    stays = islands(located, ["user_id"], ["ts", "event_id"], "city", chunk)
+    return stays.select("user_id", F.col("island_no").cast("bigint").alias("step"), "city")
+
+
 def user_cities(
     messages: DataFrame, cities: DataFrame, min_days: int = 27, chunk: Column | None = None
 ) -> DataFrame:
@@ -89,7 +105,7 @@ def zone_metrics(events: DataFrame, cities: DataFrame) -> DataFrame:
 
     weekly = status_totals(by_zone(sent))
     newcomers = by_zone(firsts).agg(F.count("*").alias("week_user"))
-    counts = weekly.join(newcomers, grain, "left").na.fill(0, ["week_user"])
+    counts = join_same(weekly, newcomers, grain, "left").na.fill(0, ["week_user"])
     # a month has at most six weeks, so this window only sees tiny groups
     of_month = Window.partitionBy("zone_id", "month")
     return counts.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from martkit.operators.quality import null_share
+from martkit.operators.quantiles import exact_median
 from martkit.operators.select import count_by_value, ordered_list
 from martkit.plans import standins as s
 from martkit.plans.marts import dealership
@@ -179,3 +180,14 @@ def agg_span(t):
         F.to_date(F.min("o_orderdate")).alias("first_day"),
         F.to_date(F.max("o_orderdate")).alias("last_day"),
     )
+
+
+@query(
+    "median_hot_group",
+    """SELECT 'all' AS part, CAST(median(CAST(l_extendedprice AS DECIMAL(12,2))::DECIMAL(16,4)) AS DOUBLE) AS price FROM lineitem
+    UNION ALL SELECT l_returnflag, CAST(median(CAST(l_extendedprice AS DECIMAL(12,2))::DECIMAL(16,4)) AS DOUBLE) FROM lineitem GROUP BY 1""",
+)
+def median_hot_group(t):
+    """A group of all rows and three large ones, without a group's values in one task."""
+    rows = t("lineitem").select(F.explode(F.array(F.lit("all"), "l_returnflag")).alias("part"), "l_extendedprice")
+    return exact_median(rows, ["part"], "l_extendedprice", "price")

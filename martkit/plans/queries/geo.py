@@ -91,6 +91,21 @@ def friends(t):
     )
 
 
+@query(
+    "travel_steps",
+    with_(
+        "geo_city",
+        steps="""SELECT *, CASE WHEN lag(city) OVER w = city THEN 0 ELSE 1 END AS starts
+            FROM geo_city WHERE kind = 'message'
+            WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+    )
+    + """SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS step, city
+    FROM steps WHERE starts = 1""",
+)
+def travel_steps_of_users(t):
+    return geo.travel_steps(s.geo_messages(t).withColumn("ts", F.col("ts").cast("timestamp")), s.cities(t))
+
+
 @query(
     "user_cities",
     with_(
