@@ -186,7 +186,9 @@ def test_decontaminate_substitutions(spark):
     items = spark.createDataFrame([(1, " ".join(item)), (2, None), (3, "b1 b2")], "item_id bigint, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, items).collect()}
     want = brute.leaks(made, [(1, " ".join(item))], decontaminate.MASKS, decontaminate.REACH, decontaminate.MIN_WORDS, decontaminate.MIN_PERCENT)
-    assert got == want and {(i, 1) for i in range(5)} <= got and (29, 1) not in got
+    whole = {(i, 3) for i, t in [*made, (97, "b1 b2 b3")] if " b1 b2 " in f" {t.lower()} "}  # the short item
+    assert got == want | whole and {(i, 1) for i in range(5)} <= got and (29, 1) not in got
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, items, short_items=False).collect()} == want
 
 
 def test_decontaminate_odd(spark, odd, empty):
