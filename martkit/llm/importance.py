@@ -70,11 +70,12 @@ def importance_resample(
 
     Target texts are the documents labelled good and not toxic, at most
     ``target_rows`` of them, chosen by hash; the raw model counts every text.
-    ``k`` is the share of labels with good quality times the number of rows, so the
-    resample has the size the labels suggest; with ``size_of_target`` it is the share
-    of those that are not toxic either, as in the target. Null and wordless texts have no n-gram and
-    weight 0. Equal keys go by doc_id; repeated rows have equal weights. Without
-    labels nothing tells texts apart and all are kept. Null labels count as not
+    ``k`` is the share of labels with good quality times the number of rows with an
+    n-gram, so the resample has the size the labels suggest; with ``size_of_target``
+    it is the share of those that are not toxic either, as in the target. Null and
+    wordless texts have no n-gram and weight 0, take no place and are not kept. Equal
+    keys go by doc_id; repeated rows have equal weights. Without labels nothing tells
+    texts apart and all are kept, wordless ones too. Null labels count as not
     good, repeated labels once each. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
@@ -103,6 +104,7 @@ def importance_resample(
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
     rows = stored(rows.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(uniform))), "weights")
     share = (told.good if size_of_target else told.fine) / told.n if told.n else 1.0
-    k = round(rows.count() * share)
-    ranked = global_ordinal(rows.withColumn("_down", -F.col("gumbel_key")), ["_down", "doc_id"], "_rank")
+    k = round(rows.where("n_grams > 0").count() * share) if told.n else rows.count()
+    marked = rows.withColumn("_none", F.col("n_grams") == 0).withColumn("_down", -F.col("gumbel_key"))
+    ranked = global_ordinal(marked, ["_none", "_down", "doc_id"], "_rank")
     return ranked.select("doc_id", "n_grams", "log_weight", "gumbel_key", (F.col("_rank") <= k).alias("keep"))

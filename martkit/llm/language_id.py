@@ -171,24 +171,23 @@ def held_out(doc_id: Column) -> Column:
 def learn(docs: DataFrame, rows_per_language: int = 250, windows_per_row: int = 24, **options) -> Network | None:
     """Network from at most ``rows_per_language`` rows of each language, chosen by hash.
 
-    Rows without a letter are not counted. With more than ``MAX_LANGUAGES`` languages
-    each has fewer rows, so that ``rows_per_language * MAX_LANGUAGES`` ids suffice.
-    The texts of the sample are read whole; ``windows_per_row`` windows of each,
-    evenly spaced, are learned. Both bounds keep the sample small at every size
-    of the table. None if no row has a language, a letter and a place in the sample.
+    Rows without a letter are not counted; rows without an id are learned like any
+    others. A row is its id, language and text: equal rows take a place each but
+    are learned once. With more than ``MAX_LANGUAGES`` languages each has fewer
+    rows, so that the sample never exceeds ``rows_per_language * MAX_LANGUAGES``
+    rows. Their texts are read whole; ``windows_per_row`` windows of each, evenly
+    spaced, are learned. These bounds keep the sample small at every size of the
+    table. None if no row has a language, a letter and a place in the sample.
     """
     usable = F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.coalesce(F.rlike("text", F.lit("\\p{L}")), F.lit(False))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = (
-        docs.where(usable)
-        .select("lang", "doc_id")
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= rows_per_language)
-    )
+    docs = docs.where(usable).select("doc_id", "lang", "text", F.xxhash64("text").alias("mark"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "mark")
+    places = docs.drop("text").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows_per_language)
     # First ranks first, so that the bound takes rows from every language before any language's later ones.
-    ids = ids.groupBy("doc_id").agg(F.min("rank").alias("rank")).orderBy("rank", "doc_id")
-    chosen = [r.doc_id for r in ids.limit(rows_per_language * MAX_LANGUAGES).collect()]
-    sample = docs.where(usable & F.col("doc_id").isin(chosen)).select("doc_id", "lang", "text")
+    chosen = places.orderBy("rank", "lang").limit(rows_per_language * MAX_LANGUAGES).alias("c")
+    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.lang") == F.col("c.lang")) & (F.col("d.mark") == F.col("c.mark"))
+    found = docs.alias("d").join(F.broadcast(chosen), same, "left_semi")  # bounded by the limit above
+    sample = found.groupBy("doc_id", "lang", "mark").agg(F.min("text").alias("text")).drop("mark")
     each = max(1, windows_per_row)
 
     def cut(batches):
@@ -294,14 +293,24 @@ def identify_languages(docs: DataFrame) -> DataFrame:
     return told
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
-    """Rows of ``docs`` whose language is known: not ``und``, and with a score of ``min_score`` or more.
+def keep_identified(docs: DataFrame, margin: float = 0.4, sure: float = 0.7) -> DataFrame:
+    """Rows of ``docs`` in one known language; rows without a ``lang`` get the predicted one.
 
-    The score is 1 / n at least among n languages, so ``min_score`` rejects
-    nothing of up to 1 / ``min_score`` languages.
+    Scores lie between 1 / n and 1 among n languages, and 0 and 1 of that way are
+    chance and certainty. Rejected are texts without a letter (null and empty ones
+    too), texts below ``margin`` of the way (undecided, or in several languages by
+    turns), and texts whose stated language is a learned one but not the predicted
+    one, if the prediction is at ``sure`` or above. With one language only
+    letterless texts go; if nothing could be learned as well.
     """
     net = learn(docs)
     # As one struct, the columns cannot clash with those of the answer.
     rest = docs.select("text", F.struct(*docs.columns).alias("row"))
-    told = identify(rest, net).where((F.col("lang_pred") != "und") & (F.col("score") >= min_score))
-    return told.select("row.*")
+    if net is None:
+        return rest.where(F.rlike("text", F.lit("\\p{L}"))).select("row.*")
+    chance = 1 / len(net.languages)
+    way = lambda part: F.col("score") >= chance + part * (1 - chance) - 1e-6
+    other = F.col("row.lang").isin(net.languages) & (F.col("row.lang") != F.col("lang_pred"))
+    told = identify(rest, net).where((F.col("lang_pred") != "und") & way(margin) & ~(F.coalesce(other, F.lit(False)) & way(sure)))
+    lang = F.coalesce("row.lang", "lang_pred").alias("lang")
+    return told.select(*[lang if c == "lang" else F.col("row").getField(c).alias(c) for c in docs.columns])

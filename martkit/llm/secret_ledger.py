@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import stored
+from martkit.llm.common import stored, unused
 
 
 @dataclass(frozen=True)
@@ -56,7 +56,8 @@ def _matches(text: Column, rule: Rule) -> Column:
     """(rule, start, stop) of every kept match, in code points.
 
     The pieces between matches and the matches themselves alternate, so their
-    lengths add up to positions.
+    lengths add up to positions. The group is taken from the match in its text, so
+    patterns may look around themselves; a pattern must not match the empty text.
     """
     pattern = rule.fast or rule.pattern
     gaps = F.split(text, pattern, -1)
@@ -66,12 +67,12 @@ def _matches(text: Column, rule: Rule) -> Column:
     def step(acc, x):
         start = acc["at"] + F.length(x["gap"])
         stop = start + F.length(x["hit"])
-        value = F.regexp_extract(x["hit"], pattern, rule.group)
         span = F.array(F.struct(F.lit(rule.key).alias("rule"), start.alias("start"), stop.alias("stop")))
-        spans = F.when(F.length(value) >= rule.least, F.concat(acc["spans"], span)).otherwise(acc["spans"])
+        spans = F.when(F.length(x["value"]) >= rule.least, F.concat(acc["spans"], span)).otherwise(acc["spans"])
         return F.struct(stop.alias("at"), spans.alias("spans"))
 
-    both = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("hit"))
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group)) if rule.group else found
+    both = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("hit"), values.alias("value"))
     return F.when(F.regexp_like(text, F.lit(pattern)), F.aggregate(both, none, step, lambda a: a["spans"]))
 
 
@@ -108,10 +109,12 @@ def update_ledger(versions: DataFrame, ledger: DataFrame | None = None, rules: S
 
 
 def findings_by_path(versions: DataFrame, ledger: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """``versions`` without text, with ``findings``: what the ledger holds for their blob under ``rules``.
+    """``versions`` without text, with ``blob`` and ``findings``: what the ledger holds for their blob under ``rules``.
 
     Sorted by start, then kind as listed; versions without a finding get an
-    empty array. Null and empty texts share one blob without findings.
+    empty array. Null and empty texts share one blob without findings. Columns
+    of the caller that are called ``blob`` or ``findings`` come back as
+    ``given_blob`` and ``given_findings`` (more underscores if those are taken).
     """
     current = F.array(*[F.lit(r.key) for r in rules])
     known = (
@@ -121,21 +124,35 @@ def findings_by_path(versions: DataFrame, ledger: DataFrame, rules: Sequence[Rul
         .withColumn("f", F.filter("f", lambda x: F.array_contains(current, x["rule"])))
     )
     ranked = F.transform("f", lambda x: F.struct(x["start"], F.array_position(current, x["rule"]).alias("rank"), x["stop"], x["rule"]))
+    # A kind may hold the mark too: the version follows the last one.
+    kind = lambda rule: F.regexp_extract(rule, "^(.*)@", 1)
     plain = F.transform(
         F.array_sort(ranked),
-        lambda x: F.struct(F.split_part(x["rule"], F.lit("@"), F.lit(1)).alias("kind"), x["start"].alias("start"), x["stop"].alias("stop")),
+        lambda x: F.struct(kind(x["rule"]).alias("kind"), x["start"].alias("start"), x["stop"].alias("stop")),
     )
     known = stored(known.select("blob", plain.alias("findings")), "findings")
     empty = F.expr("cast(array() as array<struct<kind:string,start:int,stop:int>>)")
-    paths = address(versions).drop("text", "findings")
+    for name in ("blob", "findings"):
+        if name in versions.columns:
+            versions = versions.withColumnRenamed(name, unused(versions, f"given_{name}")[0])
+    paths = address(versions).drop("text")
     return paths.join(known, "blob", "left").withColumn("findings", F.coalesce("findings", empty))
 
 
-def secret_digest(docs: DataFrame) -> DataFrame:
-    """Counts and spans per row of ``docs`` (doc_id, text), by way of a fresh ledger."""
+def secret_digest(docs: DataFrame, loads: Sequence[Sequence[Rule]] = (RULES[:2], RULES)) -> DataFrame:
+    """Counts and spans per row of ``docs`` (doc_id, text), by way of a ledger.
+
+    ``loads`` are the rules as they stood at each load of the documents, oldest
+    first. Every load appends to the ledger what the ones before have not scanned:
+    with the default, the first scans all blobs for two kinds, the second the same
+    blobs for the kind that came later. The last load's rules give the findings.
+    """
     versions = docs.select("doc_id", "text")
-    ledger = stored(update_ledger(versions), "ledger")
-    found = findings_by_path(versions, ledger)
+    ledger = None
+    for rules in loads:
+        added = stored(update_ledger(versions, ledger, rules), "ledger")
+        ledger = added if ledger is None else ledger.unionByName(added)
+    found = findings_by_path(versions, ledger, loads[-1])
     count = lambda kind: F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("bigint")
     spans = F.array_join(F.transform("findings", lambda x: F.concat_ws(":", x["kind"], x["start"], x["stop"])), ",")
     return found.withColumn("spans", spans).select(
