@@ -73,17 +73,24 @@ def load_link(
     load_ts: datetime | Column,
     src: str,
     only_new: bool = False,
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Distinct combinations of hub keys; rows lacking a business key make no link.
 
-    ``hub_keys`` maps hub key column to the staged business key.
+    ``hub_keys`` maps hub key column to the staged business key; ``extra`` names
+    more columns, computed from the business keys.
     """
+    extra = extra or {}
     bks = list(hub_keys.values())
     # distinct on the short business keys, hashes afterwards
     pairs = stage.dropna(subset=bks).select(*bks).distinct()
-    rows = pairs.select(*[md5_key(bk).alias(h) for h, bk in hub_keys.items()]).select(
+    keyed = pairs.select(
+        *[md5_key(bk).alias(h) for h, bk in hub_keys.items()], *[c.alias(name) for name, c in extra.items()]
+    )
+    rows = keyed.select(
         md5_key(*hub_keys).alias(hk),
         *hub_keys,
+        *extra,
         _stamp(load_ts).alias("load_dt"),
         F.lit(src).alias("load_src"),
     )
