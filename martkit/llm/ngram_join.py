@@ -13,7 +13,8 @@ pairs that cannot link.
    one class only are known misses and bound the overlap of each pair.
 4. Every class first meets one hub of its lists; components shrink to labels.
    Then the pairs left in lists with several labels meet in blocks, must also
-   share a prefix under a third, unrelated order, and are verified exactly.
+   share a prefix under a third, unrelated order and differ in no more parity
+   bits than linked sets can, and are verified exactly.
 """
 
 from __future__ import annotations
@@ -75,8 +76,32 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.mapInArrow(read, schema)
 
 
+def _parity(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the set's hashes modulo a power of two, four bits a shingle or more, as 64-bit words.
+
+    Two sets differ in at least as many shingles as their parities differ in bits.
+    """
+    bits = max(512, 1 << (4 * len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _few_parity_bits(a: str, b: str, percent: int) -> Column:
+    """Pair bound: the parities differ in no more bits than the sets of a link can in shingles."""
+    least = F.least(F.size(f"{a}parity"), F.size(f"{b}parity"))
+
+    def folded(side: str) -> Column:  # near sizes differ by one doubling at most
+        words = F.col(f"{side}parity")
+        halves = F.zip_with(F.slice(words, 1, least), F.slice(words, least + 1, least), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(words) > least, halves).otherwise(words)
+
+    odd = F.zip_with(folded(a), folded(b), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differing = F.aggregate(odd, F.lit(0), lambda total, one: total + one)
+    return (100 + percent) * differing <= (100 - percent) * (F.col(f"{a}n") + F.col(f"{b}n"))
+
+
 def _shingle_rows(docs: DataFrame, words: int) -> DataFrame:
-    """(cls, shingles) of the given texts."""
+    """(cls, shingles, parity) of the given texts."""
 
     def read(batches):
         for batch in batches:
@@ -85,11 +110,12 @@ def _shingle_rows(docs: DataFrame, words: int) -> DataFrame:
                 [
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    pa.array([_parity(s) for s in sets], pa.list_(pa.int64())),
                 ],
-                names=["cls", "shingles"],
+                names=["cls", "shingles", "parity"],
             )
 
-    return docs.mapInArrow(read, "cls binary, shingles array<bigint>")
+    return docs.mapInArrow(read, "cls binary, shingles array<bigint>, parity array<bigint>")
 
 
 def _screened(sets: DataFrame, percent: int) -> DataFrame:
@@ -193,15 +219,16 @@ def class_links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> D
     first_order = named.groupBy("cls").agg(F.sort_array(F.collect_list("token")).alias("prefix"))
     by_hash = F.array_sort(F.transform("shingles", lambda t: F.struct(F.xxhash64(t).alias("h"), t.alias("t"))))
     third = tokens.withColumn("n", F.size("shingles")).join(named.select("cls").distinct(), "cls", "left_semi")
-    third = third.select("cls", F.transform(F.slice(by_hash, 1, length), lambda t: t["t"]).alias("third"))
+    third = third.select("cls", "parity", F.transform(F.slice(by_hash, 1, length), lambda t: t["t"]).alias("third"))
     open_ = stored(named.join(first_order.join(third, "cls"), "cls"), "open_postings")
     side = lambda p: open_.select(
-        "token", F.col("cls").alias(p), *[F.col(c).alias(f"{p}{c}") for c in ("n", "alone", "label", "prefix", "third")]
+        "token", F.col("cls").alias(p), *[F.col(c).alias(f"{p}{c}") for c in ("n", "alone", "label", "prefix", "third", "parity")]
     )
     wanted = (
         (F.col("a") < F.col("b"))
         & (F.col("alabel") != F.col("blabel"))
         & _may_link("a", "b", percent)
+        & _few_parity_bits("a", "b", percent)
         & (F.array_min(F.array_intersect("aprefix", "bprefix")) == F.col("token"))
         & F.arrays_overlap("athird", "bthird")
     )
