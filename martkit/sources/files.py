@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +71,26 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
 
 
 def refresh_table(df: DataFrame, path: str) -> DataFrame:
-    """Full refresh of a stored result (not a path ``df`` itself reads); returns the stored rows."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Full refresh of a stored result; returns the stored rows.
+
+    The rows go to a folder beside ``path`` first and take its place by two
+    renames: a refresh that fails leaves the old table as it was, and ``df`` may
+    read ``path`` itself. Between the renames readers see no table for a moment;
+    on object stores a rename is a copy.
+    """
+    spark = df.sparkSession
+    fresh, old = (f"{path.rstrip('/')}.{side}-{uuid.uuid4().hex}" for side in ("fresh", "old"))
+    df.write.parquet(fresh)
+    table, fresh, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh, old))
+    fs = table.getFileSystem(spark._jsc.hadoopConfiguration())
+    held = fs.exists(table)
+    if held and not fs.rename(table, old):
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(fresh, table):
+        if held:
+            fs.rename(old, table)
+        raise OSError(f"cannot put the refreshed rows at {path}")
+    if held:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import date, datetime
 
 import pytest
@@ -194,6 +195,19 @@ def test_documents_and_refresh(spark, tmp_path):
     assert tuples(refresh_table(landed.limit(0), f"{tmp_path}/d")) == []
 
 
+def test_refresh_keeps_the_old_table_when_it_fails(spark, tmp_path):
+    path = f"{tmp_path}/mart"
+    stored = refresh_table(spark.range(5), path)
+    broken = spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        refresh_table(broken, path)
+    assert tuples(spark.read.parquet(path), "id") == [(k,) for k in range(5)]
+    again = refresh_table(stored.where("id > 2").unionAll(spark.range(7, 8)), path)
+    assert tuples(again, "id") == [(3,), (4,), (7,)]
+    assert tuples(spark.read.parquet(path), "id") == [(3,), (4,), (7,)]
+    assert sorted(f for f in os.listdir(tmp_path) if f.startswith("mart.old")) == []
+
+
 def test_day_predicates():
     assert day_predicates("t", date(2024, 2, 28), date(2024, 2, 29)) == [
         "t >= DATE '2024-02-28' AND t < DATE '2024-02-29'",
