@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from martkit.functions.hashing import hash_long, md5_key
 from martkit.functions.json import json_text
 from martkit.operators.sequences import calendar_dim
+from martkit.session import spread
 
 Tables = Callable[[str], DataFrame]
 
@@ -32,7 +33,8 @@ def _key(props: Column) -> Column:
 
 
 def order_lines(t: Tables) -> DataFrame:
-    return t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = spread(t("lineitem"), "l_orderkey")
+    return lines.join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 # car sales -----------------------------------------------------------------
