@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from martkit.operators.joins import join_same
 from martkit.operators.ordinals import assign_ids
 from martkit.operators.select import keyset_page, latest_per_key
-from martkit.session import settle
+from martkit.session import settle, spread
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None) -> DataFrame:
@@ -29,7 +29,9 @@ def conform_union(
     """Map differently shaped sources onto one schema and unite them.
 
     Each mapping gives target column -> source column; all must name the same
-    targets and agree on their types.
+    targets and agree on their types. Equal rows of large stored sources meet in
+    partitions whose number grows with them, before they are compared: a map of
+    the wide rows of a whole input split would not fit a task.
     """
     names = list(sources[0][1])
     shaped = []
@@ -54,7 +56,7 @@ def conform_union(
     united = shaped[0]
     for df in shaped[1:]:
         united = united.unionByName(df)
-    return united.distinct() if distinct else united
+    return spread(united, *names).distinct() if distinct else united
 
 
 def missing_rows(

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martkit import session
+from martkit.operators import load
 from martkit.plans import standins
 from tests.conftest import plan_of, tuples
 
@@ -53,3 +54,14 @@ def test_lines_get_more_partitions_with_more_input(stored, monkeypatch):
 def test_frames_without_files_stay_as_they_are(spark):
     df = spark.createDataFrame([(1,)], "k int")
     assert session.spread(df, "k") is df
+
+
+def test_conformed_rows_meet_before_they_are_compared(stored, monkeypatch):
+    """Without this each map task holds all wide rows of its input split."""
+    sources = standins.craft_sources(stored)
+    before = tuples(load.conform_union(sources))
+    assert len(before) == len(set(before))
+    monkeypatch.setattr(session, "SPREAD_BYTES", 64)
+    united = load.conform_union(standins.craft_sources(stored))
+    assert "REPARTITION_BY_NUM" in plan_of(united).split("Union")[0]
+    assert tuples(united) == before
