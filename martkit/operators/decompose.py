@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 
 from martkit.operators.load import resolve_keys
 from martkit.operators.ordinals import assign_ids
+from martkit.session import scratch_path
+from martkit.sources.files import refresh_table
 
 
 @dataclass(frozen=True)
@@ -33,13 +35,16 @@ def decompose(
     """(dimension tables by name, fact). Joins use full natural keys, never parts.
 
     List parents before children; a child row holds its parents' keys instead
-    of the columns they carry.
+    of the columns they carry. Numbered rows are stored: every use reads them
+    again, and Spark knows their size, so that a small dimension is broadcast
+    and the wide rows are shuffled for the large ones only.
     """
     by_name = {d.name: d for d in dims}
     built: dict[str, DataFrame] = {}
     full: dict[str, DataFrame] = {}
     for dim in dims:
         rows = assign_ids(wide.select(*dim.natural_key).distinct(), None, dim.sk, dim.natural_key)
+        rows = refresh_table(rows, scratch_path(wide.sparkSession, dim.name))
         full[dim.name] = rows
         out = resolve_keys(
             rows,

@@ -154,6 +154,15 @@ def test_decompose_rebuilds_the_wide_table(spark):
     assert dims["brands"].count() == 3 and fact.count() == 4
 
 
+def test_numbered_dimensions_are_stored(spark):
+    """Without this their size is unknown and the wide rows are shuffled for each of them."""
+    wide = spark.range(20).select((F.col("id") % 3).cast("string").alias("brand"), F.col("id").alias("price"))
+    dims, fact = decompose(wide, [DimSpec("brands", ["brand"], "brand_id")], FactSpec(["price"], ["brands"]))
+    assert dims["brands"].inputFiles()
+    assert "SortMergeJoin" not in plan_of(fact) and "BroadcastHashJoin" in plan_of(fact)
+    assert tuples(fact.join(dims["brands"], "brand_id"), "brand", "price") == tuples(wide, "brand", "price")
+
+
 def test_resolve_keys(spark):
     fact = spark.createDataFrame([("a", 1), ("z", 2)], "k string, v int")
     dim = spark.createDataFrame([(7, "a")], "sk int, name string")
