@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from martkit.functions.dates import month_key
 from martkit.operators.load import changed_keys
 from martkit.operators.select import best_per_group
+from martkit.session import spread
 
 # The platform's part of the money and the counted order states.
 PLATFORM_SHARE = "0.1"
@@ -26,8 +27,13 @@ def _most_frequent(counts: DataFrame, value: str, name: str) -> DataFrame:
 
 
 def customer_report(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Months of every customer in ``fact``; tops are over the customer's whole history."""
-    monthly = fact.groupBy(
+    """Months of every customer in ``fact``; tops are over the customer's whole history.
+
+    Rows of a large stored fact are dealt by customer once for all aggregates,
+    windows and joins by customer, in partitions whose number grows with it.
+    """
+    by_customer = spread(fact, "customer_id")
+    monthly = by_customer.groupBy(
         "customer_id", month_key(F.col("order_created_date")).alias("report_period")
     ).agg(
         F.sum("product_price").alias("customer_money"),
@@ -38,13 +44,15 @@ def customer_report(fact: DataFrame, customers: DataFrame, products: DataFrame)
         *[F.count_if(F.col("order_status") == v).alias(n) for n, v in STATUSES.items()],
         F.count_if(F.col("order_status") != "done").alias("count_order_not_done"),
     )
-    per_product = fact.groupBy("customer_id", "product_id").agg(F.count("*").alias("c"))
+    by_product = spread(fact.select("customer_id", "product_id"), "product_id")
+    per_product = by_product.groupBy("customer_id", "product_id").agg(F.count("*").alias("c"))
+    typed = per_product.join(products.select("product_id", "product_type"), "product_id")
     categories = (
-        per_product.join(products.select("product_id", "product_type"), "product_id")
+        spread(typed, "customer_id", like=fact)
         .groupBy("customer_id", "product_type")
         .agg(F.sum("c").alias("n"))
     )
-    craftsmen = fact.groupBy("customer_id", "craftsman_id").agg(F.count("*").alias("n"))
+    craftsmen = by_customer.groupBy("customer_id", "craftsman_id").agg(F.count("*").alias("n"))
     return (
         monthly.join(
             customers.select(

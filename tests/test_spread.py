@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from martkit import session
 from martkit.operators import load
 from martkit.plans import standins
+from martkit.plans.marts.customer_report import customer_report
 from tests.conftest import plan_of, tuples
 
 
@@ -65,3 +66,15 @@ def test_conformed_rows_meet_before_they_are_compared(stored, monkeypatch):
     united = load.conform_union(standins.craft_sources(stored))
     assert "REPARTITION_BY_NUM" in plan_of(united).split("Union")[0]
     assert tuples(united) == before
+
+
+def test_customer_report_is_dealt_by_customer(spark, stored, tmp_path, monkeypatch):
+    """Without this the last joins and windows of all customers meet in merged partitions."""
+    standins.craft_fact(stored).write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    report = lambda: customer_report(fact, standins.craft_customers(stored), standins.craft_products(stored))
+    before = tuples(report())
+    assert before and "REPARTITION_BY_NUM" not in plan_of(report())
+    monkeypatch.setattr(session, "SPREAD_BYTES", 64)
+    assert plan_of(report()).count("REPARTITION_BY_NUM") >= 4
+    assert tuples(report()) == before
