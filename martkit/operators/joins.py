@@ -30,6 +30,40 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     )
 
 
+HASH = "_hash"  # hash of the keys that a side is dealt by
+
+
+def deal(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
+    """``df`` with a hash of ``keys`` in ``_hash``, dealt by it into ``parts`` partitions."""
+    return df.withColumn(HASH, F.xxhash64(*keys)).repartition(parts, HASH)
+
+
+def join_dealt(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, parts: int) -> DataFrame:
+    """``join_same`` of large sides, in a given number of partitions (``spread_parts``; 0: as Spark likes).
+
+    Both sides are dealt by one hash of their keys, unless ``deal`` did so
+    before. Rows of equal hash are compared by the keys themselves, null keys
+    matching. Keys whose types differ have no common hash and meet in ``join_same``.
+    """
+    if not parts or any(left.schema[k].dataType != right.schema[k].dataType for k in keys):
+        return join_same(left.drop(HASH), right.drop(HASH), keys, how)
+    left, right = (df if HASH in df.columns else deal(df, keys, parts) for df in (left, right))
+    marked = right.select(
+        *[F.col(k).alias(f"_right_{k}") for k in [HASH, *keys]],
+        *[c for c in right.columns if c not in (HASH, *keys)],
+    )
+    # not as <=>, which would make each key a key of the join and of its shuffle
+    same = reduce(
+        lambda a, b: a & b,
+        [
+            F.coalesce(F.col(k) == F.col(f"_right_{k}"), F.col(k).isNull() & F.col(f"_right_{k}").isNull())
+            for k in keys
+        ],
+        F.col(HASH) == F.col(f"_right_{HASH}"),
+    )
+    return left.join(marked, same, how).drop(HASH, *[f"_right_{k}" for k in [HASH, *keys]])
+
+
 def split_hot_join(
     left: DataFrame,
     right: DataFrame,

@@ -12,10 +12,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkit.operators.joins import join_same
+from martkit.operators.joins import HASH, deal, join_dealt, join_same
 from martkit.operators.ordinals import assign_ids
 from martkit.operators.select import keyset_page, latest_per_key
-from martkit.session import settle, spread
+from martkit.session import settle, spread, spread_parts
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None) -> DataFrame:
@@ -124,16 +124,21 @@ def merge_dim(
     """MERGE: update matched rows, insert new ones, stamp ``load_dttm`` on both.
 
     With ``sk`` new rows get surrogate keys above the current ones, in key order.
+    Large stored sides meet in partitions whose number grows with them.
     """
     stamp = load_ts if isinstance(load_ts, Column) else F.lit(load_ts)
     stamp = stamp.cast(current.schema["load_dttm"].dataType)
-    batch = _one_per_key(incoming.select(*keys, *update_cols, *[
+    parts = spread_parts(current, incoming)
+    arriving = incoming.select(*keys, *update_cols, *[
         c for c in (order_by or []) if c not in keys and c not in update_cols
-    ]), keys, order_by).select(*keys, *update_cols)
-    marked = batch.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in update_cols]).withColumn(
+    ])
+    by = [HASH, *keys] if parts else list(keys)
+    arriving = deal(arriving, keys, parts) if parts else arriving
+    batch = _one_per_key(arriving, by, order_by).select(*by, *update_cols)
+    marked = batch.select(*by, *[F.col(c).alias(f"_new_{c}") for c in update_cols]).withColumn(
         "_hit", F.lit(True)
     )
-    touched = join_same(current, marked, keys, "left")
+    touched = join_dealt(current, marked, keys, "left", parts)
     hit = F.col("_hit").isNotNull()
     kept = touched.select(
         *[
@@ -145,7 +150,7 @@ def merge_dim(
             for c in current.columns
         ]
     )
-    fresh = join_same(batch, current.select(*keys), keys, "left_anti").withColumn(
+    fresh = join_dealt(batch, current.select(*keys), keys, "left_anti", parts).withColumn(
         "load_dttm", stamp
     )
     if sk is not None:
@@ -243,13 +248,17 @@ def resolve_keys(
     """Attach surrogate keys: ``dims`` lists (dim, {fact column: dim column}, sk).
 
     A natural key that repeats in a dimension resolves to its least surrogate key.
+    A large stored dimension meets the fact in partitions whose number grows with both.
     """
     out = fact
     for dim, natural, sk in dims:
         keys = list(natural)
         lookup = dim.select(*[F.col(natural[k]).alias(k) for k in keys], sk)
-        lookup = lookup.groupBy(*keys).agg(F.min(sk).alias(sk))
-        out = join_same(out, lookup, keys, how)
+        parts = spread_parts(fact, dim) if spread_parts(dim) else 0
+        by = [HASH, *keys] if parts else keys
+        lookup = deal(lookup, keys, parts) if parts else lookup
+        lookup = lookup.groupBy(*by).agg(F.min(sk).alias(sk))
+        out = join_dealt(out, lookup, keys, how, parts)
     return out
 
 

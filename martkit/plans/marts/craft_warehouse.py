@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from martkit.operators.load import merge_dim, resolve_keys
 from martkit.plans.marts.customer_report import customer_report
+from martkit.session import scratch_path
+from martkit.sources.files import refresh_table
 
 # dimension -> (surrogate key, natural key, other columns)
 DIMS = {
@@ -49,11 +51,14 @@ def empty_tables(staged: DataFrame) -> dict[str, DataFrame]:
 def load_warehouse(
     current: Mapping[str, DataFrame], staged: DataFrame, load_ts: datetime
 ) -> dict[str, DataFrame]:
-    """Merge conformed rows into the dimensions, then into the fact."""
-    out = {
-        name: merge_dim(current[name], staged, natural, cols, load_ts, sk)
-        for name, (sk, natural, cols) in DIMS.items()
-    }
+    """Merge conformed rows into the dimensions, then into the fact.
+
+    The merged dimensions are stored, as the fact reads them again.
+    """
+    out = {}
+    for name, (sk, natural, cols) in DIMS.items():
+        merged = merge_dim(current[name], staged, natural, cols, load_ts, sk)
+        out[name] = refresh_table(merged, scratch_path(staged.sparkSession, f"merged-{name}"))
     keyed = resolve_keys(
         staged.drop(*[sk for sk, _, _ in DIMS.values()]),
         [(out[name], {c: c for c in natural}, sk) for name, (sk, natural, _) in DIMS.items()],

@@ -78,3 +78,23 @@ def test_customer_report_is_dealt_by_customer(spark, stored, tmp_path, monkeypat
     monkeypatch.setattr(session, "SPREAD_BYTES", 64)
     assert plan_of(report()).count("REPARTITION_BY_NUM") >= 4
     assert tuples(report()) == before
+
+
+def test_large_merges_meet_in_dealt_partitions(spark, tmp_path, monkeypatch):
+    """Without this both sides of a merge meet in merged partitions; null and repeated keys count as before."""
+    rows = [(None, 1, "n"), (None, 1, "o"), ("a", None, "x"), ("a", None, "x"), ("b", 2, "y"), ("c", 3, "z")]
+    spark.createDataFrame(rows, "k string, l int, v string").write.parquet(str(tmp_path / "new"))
+    spark.createDataFrame([(7, None, 1, "old"), (8, "b", 2, "old"), (9, "d", 4, "old")], "sk bigint, k string, l int, v string").withColumn(
+        "load_dttm", F.lit("2020-01-01").cast("timestamp")
+    ).write.parquet(str(tmp_path / "now"))
+    new, now = (spark.read.parquet(str(tmp_path / n)) for n in ("new", "now"))
+    merged = lambda: load.merge_dim(now, new, ["k", "l"], ["v"], F.lit("2024-01-01").cast("timestamp"), "sk")
+    keyed = lambda how: load.resolve_keys(new, [(now, {"k": "k", "l": "l"}, "sk")], how)
+    before = [tuples(merged()), tuples(keyed("left")), tuples(keyed("inner"))]
+    assert len(before[0]) == 5 and len(before[1]) == 6 and len(before[2]) == 3
+    assert "REPARTITION_BY_NUM" not in plan_of(merged())
+    monkeypatch.setattr(session, "SPREAD_BYTES", 64)
+    assert "REPARTITION_BY_NUM" in plan_of(merged()) and "REPARTITION_BY_NUM" in plan_of(keyed("left"))
+    assert [tuples(merged()), tuples(keyed("left")), tuples(keyed("inner"))] == before
+    wide = now.withColumn("l", F.col("l").cast("bigint"))  # no common hash
+    assert tuples(load.resolve_keys(new, [(wide, {"k": "k", "l": "l"}, "sk")], "inner"), "sk") == [(7,), (7,), (8,)]
