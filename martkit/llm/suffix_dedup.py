@@ -18,20 +18,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martkit.llm.common import release, stored
-from martkit.llm.ordered import adjacent
-from martkit.llm.tokens import window_hashes, word_hashes
+from martkit.llm.ordered import adjacent_runs
+from martkit.llm.tokens import full_window_hashes, text_runs, window_hashes, word_hashes
 
 GRAM = 8
 WINDOW = 24
+_ROWS = 10_000
 
 
-def minimisers(words: np.ndarray) -> np.ndarray:
-    """Positions of the least word-run hash of every ``WINDOW`` consecutive runs."""
-    grams = window_hashes(words, GRAM)
+def minimisers(words: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Positions of the least word-run hash of every ``WINDOW`` consecutive runs of a text.
+
+    ``words`` holds texts one after the other, ``stops`` where the text of each word ends.
+    """
+    grams = full_window_hashes(words, GRAM)
     if len(grams) < WINDOW:
         return np.zeros(0, np.int64)
-    seen = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)
-    return np.unique(np.arange(len(seen)) + seen.argmin(axis=1))
+    # The first least of twice as many runs is that of the first or of the second half.
+    least, width = np.arange(len(grams)), 1
+    while width < WINDOW:
+        step = min(width, WINDOW - width)
+        first, then = least[:-step], least[step:]
+        least = np.where(grams[then] < grams[first], then, first)
+        width += step
+    whole = np.arange(len(least)) + WINDOW + GRAM - 1 <= stops[: len(least)]
+    kept = np.zeros(len(words), bool)
+    kept[least[whole]] = True
+    return np.flatnonzero(kept)
 
 
 def _anchors(rows: DataFrame, min_words: int) -> DataFrame:
@@ -40,26 +53,36 @@ def _anchors(rows: DataFrame, min_words: int) -> DataFrame:
 
     def read(batches):
         for batch in batches:
-            ids, marks, keys, places = [], [], [], []
-            for i, h, text in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), batch.column("text")):
-                words = word_hashes(text.as_py().encode("utf-8"))
-                if len(words) < min_words:
+            for first, words, bounds in text_runs(batch.column("text").to_pylist()):
+                sizes = np.diff(bounds)
+                texts, stops = np.repeat(np.arange(len(sizes)), sizes), np.repeat(bounds[1:], sizes)
+                at = minimisers(words, stops)
+                at = at[(at + ahead <= stops[at]) & (sizes[texts[at]] >= min_words)]
+                if not len(at):
                     continue
-                at = minimisers(words)
-                at = at[at <= len(words) - ahead]
-                keys.append(window_hashes(words, ahead)[at].view(np.int64))
-                places.append(at.astype(np.int32))
-                ids += [i] * len(at)
-                marks += [h] * len(at)
-            if ids:
+                of = pa.array(first + texts[at])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(np.concatenate(keys)), pa.array(np.concatenate(places))],
+                    [
+                        batch.column("doc_id").take(of),
+                        batch.column("row").take(of),
+                        pa.array(full_window_hashes(words, ahead)[at].view(np.int64)),
+                        pa.array((at - bounds[texts[at]]).astype(np.int32)),
+                    ],
                     names=["doc_id", "row", "key", "pos"],
                 )
 
     return rows.mapInArrow(read, "doc_id bigint, row bigint, key bigint, pos int")
 
 
+def _word_runs(short: np.ndarray, starts: np.ndarray, sizes: np.ndarray, step: int) -> pa.Array:
+    """Binary column of the ``sizes`` words from ``starts`` on, forwards or (``step`` -1) backwards."""
+    along = np.arange(WINDOW)
+    taken = (starts[:, None] + step * along)[along < sizes[:, None]]
+    bounds = np.zeros(len(sizes) + 1, np.int32)
+    np.cumsum(4 * sizes, out=bounds[1:])
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(short[taken])])
+
+
 def _contexts(marked: DataFrame, min_words: int) -> DataFrame:
     """(doc_id, row, key, pos, behind, ahead) of the given positions; words as 32-bit hashes.
 
@@ -70,43 +93,64 @@ def _contexts(marked: DataFrame, min_words: int) -> DataFrame:
 
     def read(batches):
         for batch in batches:
-            out = []
-            for i, h, text, places in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text", "places"))):
-                words = word_hashes(text.encode("utf-8"))
-                keys = window_hashes(words, start)
+            places = batch.column("places")
+            for first, words, bounds in text_runs(batch.column("text").to_pylist()):
+                keys = full_window_hashes(words, start).view(np.int64)
                 short = (words >> np.uint64(32)).astype(">u4")
-                for p in places:
-                    behind = short[max(0, p - WINDOW + 1) : p][::-1]
-                    out.append((i, h, int(keys[p].astype(np.int64)), p, behind.tobytes(), short[p + start : p + start + WINDOW].tobytes()))
-            if out:
-                cols = list(zip(*out))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "row", "key", "pos", "behind", "ahead"])
+                own = places.slice(first, len(bounds) - 1)
+                texts = np.repeat(np.arange(len(own)), own.value_lengths().to_numpy(zero_copy_only=False))
+                found = own.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                for i in range(0, len(found), _ROWS):
+                    text, pos = texts[i : i + _ROWS], found[i : i + _ROWS]
+                    at, of = bounds[text] + pos, pa.array(first + text)
+                    left = bounds[text + 1] - at - start
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("doc_id").take(of),
+                            batch.column("row").take(of),
+                            pa.array(keys[at]),
+                            pa.array(pos.astype(np.int32)),
+                            _word_runs(short, at - 1, np.minimum(pos, WINDOW - 1), -1),
+                            _word_runs(short, at + start, np.minimum(left, WINDOW), 1),
+                        ],
+                        names=["doc_id", "row", "key", "pos", "behind", "ahead"],
+                    )
 
     return marked.mapInArrow(read, "doc_id bigint, row bigint, key bigint, pos int, behind binary, ahead binary")
 
 
-def _common(a: bytes, b: bytes) -> int:
-    """Equal words at the start of both."""
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n // 4
-    differ = np.frombuffer(a[:n], np.uint32) != np.frombuffer(b[:n], np.uint32)
-    return int(differ.argmax())
+def _common(runs: pa.Array) -> np.ndarray:
+    """Equal words at the start of each row and the next."""
+    bounds = np.frombuffer(runs.buffers()[1], np.int32)[runs.offset : runs.offset + len(runs) + 1]
+    sizes = np.diff(bounds) // 4
+    within = np.arange(WINDOW) < sizes[:, None]
+    words = np.zeros(within.shape, np.uint32)
+    if bounds[-1] > bounds[0]:
+        words[within] = np.frombuffer(runs.buffers()[2], np.uint32)[bounds[0] // 4 : bounds[-1] // 4]
+    ended = np.ones((len(runs) - 1, WINDOW + 1), bool)
+    ended[:, :-1] = (words[1:] != words[:-1]) | ~(within[1:] & within[:-1])
+    return ended.argmax(axis=1)
 
 
 def _neighbour_matches(contexts: DataFrame, by: tuple[str, str], shared: int) -> DataFrame:
-    """(doc_id, row, key, pos, left, right) of each suffix with both neighbours of its key."""
-
-    def pair(a, b):
-        if a[2] == b[2]:
-            left, right = _common(a[4], b[4]), shared + _common(a[5], b[5])
-            yield a[0], a[1], a[2], a[3], left, right
-            yield b[0], b[1], b[2], b[3], left, right
+    """(doc_id, row, key, pos, left, right) of each suffix with both neighbours of its key, once if equal."""
+
+    def pairs(run):
+        keys = run.column("key").to_numpy()
+        at = np.flatnonzero(keys[1:] == keys[:-1])
+        left = _common(run.column("behind").cast(pa.binary()))[at].astype(np.int32)
+        right = (shared + _common(run.column("ahead").cast(pa.binary()))[at]).astype(np.int32)
+        # The second row of a pair is the first of the next one and names an equal match there.
+        last = np.ones(len(at), bool)
+        last[:-1] = (at[1:] != at[:-1] + 1) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])
+        of = pa.array(np.concatenate([at, at[last] + 1]))
+        return [
+            *[run.column(c).take(of) for c in ("doc_id", "row", "key", "pos")],
+            *[pa.array(np.concatenate([m, m[last]])) for m in (left, right)],
+        ]
 
     order = [F.col(c) for c in ("key", *by, "doc_id", "row", "pos")]
-    schema = "doc_id bigint, row bigint, key bigint, pos int, left int, right int"
-    return adjacent(contexts, order, lambda r: r, pair, schema)
+    return adjacent_runs(contexts, order, pairs, "doc_id bigint, row bigint, key bigint, pos int, left int, right int")
 
 
 def _windows(members: DataFrame, rows: DataFrame, min_words: int) -> DataFrame:

@@ -7,11 +7,14 @@ passes over its bytes however many words it has.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _STEP = np.uint64(0xD1342543DE82EF95)
-_powers: dict[str, np.ndarray] = {}
+_RUN_BYTES = 1 << 17  # texts hashed at once; their arrays stay in the processor's cache
+_powers: dict[tuple[int, str], np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -23,15 +26,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, grown by doubling."""
-    if "up" not in _powers or len(_powers["up"]) < n:
+def _power_tables(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse, grown by doubling."""
+    up, down = (base, "up"), (base, "down")
+    if up not in _powers or len(_powers[up]) < n:
         size = 1 << max(12, int(n - 1).bit_length())
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, dtype=np.uint64)
+        for name, factor in ((up, base), (down, pow(base, -1, 1 << 64))):
+            steps = np.full(size, factor, dtype=np.uint64)
             steps[0] = 1
             _powers[name] = np.cumprod(steps, dtype=np.uint64)
-    return _powers["up"][:n], _powers["down"][:n]
+    return _powers[up][:n], _powers[down][:n]
 
 
 def lowered(data: bytes) -> np.ndarray:
@@ -63,6 +67,40 @@ def word_hashes(data: bytes) -> np.ndarray:
     return span_hashes(raw, *word_spans(raw))
 
 
+def text_runs(texts: Iterable[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(index of the first, word hashes, bounds) of consecutive texts, many hashed at once.
+
+    The words of the ``i``-th text of a run are ``words[bounds[i] : bounds[i + 1]]``.
+    """
+
+    def run():
+        raw = lowered(b" ".join(held))
+        starts, ends = word_spans(raw)
+        begins = np.cumsum([0, *[len(data) + 1 for data in held]])
+        return first, span_hashes(raw, starts, ends), np.searchsorted(starts, begins)
+
+    held, size, first = [], 0, 0
+    for text in texts:
+        held.append(text.encode("utf-8"))
+        size += len(held[-1])
+        if size >= _RUN_BYTES:
+            yield run()
+            first += len(held)
+            held, size = [], 0
+    if held:
+        yield run()
+
+
+def full_window_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """``window_hashes`` of all runs of ``n`` words, from differences of one running polynomial."""
+    if len(words) < n:
+        return words[:0]
+    up, down = _power_tables(len(words), int(_STEP))
+    run = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.cumsum(words * down, out=run[1:])
+    return mix((run[n:] - run[:-n]) * up[n - 1 :] + np.uint64(n))
+
+
 def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of every run of ``n`` words; a shorter text is one run, no word none."""
     k = min(n, len(words))
