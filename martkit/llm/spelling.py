@@ -112,7 +112,10 @@ def variant_forms(vocabulary: DataFrame, ratio: int = 5, symbols: int = SYMBOLS)
 
     ``form`` is the near word of largest n, ties by code point, if that n is at
     least ``ratio`` times the word's; ``root`` ends the chain of forms. Counts
-    grow along a chain, so it has no cycle; it is followed by doubling, in joins.
+    grow along a chain where ``ratio`` is above 1, so it has no cycle; it is
+    followed by doubling, in joins. With a lower ratio two words may be the form
+    of each other (longer circles cannot be: nearness is mutual and the least by
+    n and code point wins); they have no root and are refused.
     """
     pairs = stored(near_words(vocabulary, symbols), "near")
     both = pairs.unionAll(pairs.select("b", "n_b", "a", "n_a"))
@@ -138,7 +141,9 @@ def variant_forms(vocabulary: DataFrame, ratio: int = 5, symbols: int = SYMBOLS)
         on = ends.select(F.col("word").alias("root"), F.col("root").alias("next"))
         after = stored(ends.join(on, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         release(ends)
-        moved = bool(after.where("moved").head(1))
+        moved, circle = after.agg(F.bool_or("moved"), F.bool_or(F.col("root") == F.col("word"))).first()
+        if circle:
+            raise ValueError("forms lead in a circle: ratio must be above 1")
         ends = after.select("word", "root")
         if not moved:
             break
