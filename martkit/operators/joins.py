@@ -48,7 +48,8 @@ def join_dealt(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
     if not parts or any(left.schema[k].dataType != right.schema[k].dataType for k in keys):
         return join_same(left.drop(HASH), right.drop(HASH), keys, how)
     left, right = (df if HASH in df.columns else deal(df, keys, parts) for df in (left, right))
-    marked = right.select(
+    # both lie as a merge join needs them; a broadcast would pass a large side through the driver
+    marked = right.hint("merge").select(
         *[F.col(k).alias(f"_right_{k}") for k in [HASH, *keys]],
         *[c for c in right.columns if c not in (HASH, *keys)],
     )

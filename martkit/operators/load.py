@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from martkit.operators.joins import HASH, deal, join_dealt, join_same
 from martkit.operators.ordinals import assign_ids
 from martkit.operators.select import keyset_page, latest_per_key
-from martkit.session import settle, spread, spread_parts
+from martkit.session import settle, spread, spread_parts, unbroadcast
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None) -> DataFrame:
@@ -248,12 +248,13 @@ def resolve_keys(
     """Attach surrogate keys: ``dims`` lists (dim, {fact column: dim column}, sk).
 
     A natural key that repeats in a dimension resolves to its least surrogate key.
-    A large stored dimension meets the fact in partitions whose number grows with both.
+    A large stored dimension meets the fact in partitions whose number grows with both;
+    one whose rows are too many is not broadcast, however small its files.
     """
     out = fact
     for dim, natural, sk in dims:
         keys = list(natural)
-        lookup = dim.select(*[F.col(natural[k]).alias(k) for k in keys], sk)
+        lookup = unbroadcast(dim.select(*[F.col(natural[k]).alias(k) for k in keys], sk))
         parts = spread_parts(fact, dim) if spread_parts(dim) else 0
         by = [HASH, *keys] if parts else keys
         lookup = deal(lookup, keys, parts) if parts else lookup

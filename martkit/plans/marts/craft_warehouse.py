@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martkit.operators.load import merge_dim, resolve_keys
 from martkit.plans.marts.customer_report import customer_report
-from martkit.session import scratch_path
+from martkit.session import scratch_path, unbroadcast
 from martkit.sources.files import refresh_table
 
 # dimension -> (surrogate key, natural key, other columns)
@@ -70,6 +70,6 @@ def load_warehouse(
 
 def report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Customer report over the loaded tables."""
-    prices = tables["products"].select("product_id", "product_price")
+    prices = unbroadcast(tables["products"].select("product_id", "product_price"))
     fact = tables["orders"].join(prices, "product_id")
     return customer_report(fact, tables["customers"], tables["products"])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from martkit.functions.dates import month_key
 from martkit.operators.load import changed_keys
 from martkit.operators.select import best_per_group
-from martkit.session import spread
+from martkit.session import spread, unbroadcast
 
 # The platform's part of the money and the counted order states.
 PLATFORM_SHARE = "0.1"
@@ -46,24 +46,18 @@ def customer_report(fact: DataFrame, customers: DataFrame, products: DataFrame)
     )
     by_product = spread(fact.select("customer_id", "product_id"), "product_id")
     per_product = by_product.groupBy("customer_id", "product_id").agg(F.count("*").alias("c"))
-    typed = per_product.join(products.select("product_id", "product_type"), "product_id")
+    typed = per_product.join(unbroadcast(products.select("product_id", "product_type")), "product_id")
     categories = (
         spread(typed, "customer_id", like=fact)
         .groupBy("customer_id", "product_type")
         .agg(F.sum("c").alias("n"))
     )
     craftsmen = by_customer.groupBy("customer_id", "craftsman_id").agg(F.count("*").alias("n"))
+    people = customers.select(
+        "customer_id", "customer_name", "customer_address", "customer_birthday", "customer_email"
+    )
     return (
-        monthly.join(
-            customers.select(
-                "customer_id",
-                "customer_name",
-                "customer_address",
-                "customer_birthday",
-                "customer_email",
-            ),
-            "customer_id",
-        )
+        monthly.join(unbroadcast(people), "customer_id")
         .join(_most_frequent(categories, "product_type", "top_product_category"), "customer_id", "left")
         .join(_most_frequent(craftsmen, "craftsman_id", "top_craftsman_id"), "customer_id", "left")
         .select(

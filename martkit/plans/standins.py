@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from martkit.functions.hashing import hash_long, md5_key
 from martkit.functions.json import json_text
 from martkit.operators.sequences import calendar_dim
-from martkit.session import spread
+from martkit.session import spread, unbroadcast
 
 Tables = Callable[[str], DataFrame]
 
@@ -34,7 +34,7 @@ def _key(props: Column) -> Column:
 
 def order_lines(t: Tables) -> DataFrame:
     lines = spread(t("lineitem"), "l_orderkey")
-    return lines.join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return lines.join(unbroadcast(t("orders")), F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 # car sales -----------------------------------------------------------------
@@ -214,9 +214,9 @@ def craft_sources(t: Tables) -> list[tuple[DataFrame, dict[str, str]]]:
     wide = (
         craft_fact(t)
         .drop("load_dttm")
-        .join(craft_customers(t).drop("load_dttm"), "customer_id")
-        .join(craft_craftsmen(t).drop("load_dttm"), "craftsman_id")
-        .join(craft_products(t).drop("load_dttm", "list_price"), "product_id")
+        .join(unbroadcast(craft_customers(t).drop("load_dttm")), "customer_id")
+        .join(unbroadcast(craft_craftsmen(t).drop("load_dttm")), "craftsman_id")
+        .join(unbroadcast(craft_products(t).drop("load_dttm", "list_price")), "product_id")
     )
     names = sorted(wide.columns)
     out = []

@@ -98,3 +98,17 @@ def test_large_merges_meet_in_dealt_partitions(spark, tmp_path, monkeypatch):
     assert [tuples(merged()), tuples(keyed("left")), tuples(keyed("inner"))] == before
     wide = now.withColumn("l", F.col("l").cast("bigint"))  # no common hash
     assert tuples(load.resolve_keys(new, [(wide, {"k": "k", "l": "l"}, "sk")], "inner"), "sk") == [(7,), (7,), (8,)]
+
+
+def test_tables_of_many_rows_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Without this Spark sends a table through the driver whose files are small, however many rows they hold."""
+    monkeypatch.setattr(session, "COUNT_BYTES", 0, raising=False)
+    rows = spark.range(300_000).select("id", F.lit("same").alias("k"), (F.col("id") % 3).alias("l"))
+    for name, df in (("many", rows), ("few", rows.where("id < 5"))):
+        df.write.parquet(str(tmp_path / name))
+    many, few = (spark.read.parquet(str(tmp_path / n)) for n in ("many", "few"))
+    fact = spark.createDataFrame([("same", 1), ("same", None), ("other", 2)], "k string, l bigint")
+    keyed = lambda dim: load.resolve_keys(fact, [(dim, {"k": "k", "l": "l"}, "id")])
+    assert "SortMergeJoin" in plan_of(keyed(many)) and "Broadcast" not in plan_of(keyed(many))
+    assert "BroadcastHashJoin" in plan_of(keyed(few))
+    assert tuples(keyed(many)) == tuples(keyed(few)) == [("other", 2, None), ("same", 1, 1), ("same", None, None)]
