@@ -347,7 +347,8 @@ def union_distinct(t):
     FROM wide GROUP BY ALL""",
 )
 def conform(t):
-    united = conform_union(s.craft_sources(t), distinct=True)
+    landed = [(t.stored(df, f"source-{i}"), mapping) for i, (df, mapping) in enumerate(s.craft_sources(t))]
+    united = conform_union(landed, distinct=True)
     return united.groupBy("order_status", "product_type", "craftsman_name").agg(
         F.count("*").alias("order_rows"),
         F.sum("product_price").alias("money"),

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martkit.session import shuffles_dropped
+
 REJECT_COL = "_rejected_line"
 
 
@@ -77,12 +79,13 @@ def refresh_table(df: DataFrame, path: str) -> DataFrame:
     The rows go to a folder beside ``path`` first and take its place by two
     renames: a refresh that fails leaves the old table as it was, and ``df`` may
     read ``path`` itself. Between the renames readers see no table for a moment;
-    on object stores a rename is a copy.
+    on object stores a rename is a copy. Shuffle files of the write go with it.
     """
     spark = df.sparkSession
     fresh, old = (f"{path.rstrip('/')}.{side}-{uuid.uuid4().hex}" for side in ("fresh", "old"))
     # hash keys are hexadecimal text, which zstd halves
-    df.write.option("compression", "zstd").parquet(fresh)
+    with shuffles_dropped(spark):
+        df.write.option("compression", "zstd").parquet(fresh)
     table, fresh, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh, old))
     fs = table.getFileSystem(spark._jsc.hadoopConfiguration())
     held = fs.exists(table)
